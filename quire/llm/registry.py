@@ -1,10 +1,15 @@
 """The corpus operators' queries and their SQL, for ``__spark_entry__.py``."""
 
-from quire.llm import line_runs, suffix_decontam
+from quire.llm import arrow_tokens, entropy_mix, lang_embed, line_runs, simhash_ball, suffix_decontam, url_markov
 
 QUERIES = {
+    "op2_simhash_ball": simhash_ball.op2,
     "op4_line_runs": line_runs.op4,
     "op5_suffix_decontam": suffix_decontam.op5,
+    "op6_url_markov": url_markov.op6,
+    "op7_entropy_mix": entropy_mix.op7,
+    "op8_lang_embed": lang_embed.op8,
+    "op9_arrow_tokens": arrow_tokens.op9,
 }
 SQL = {
     "op4_line_runs": line_runs.OP4_SQL,
