@@ -1,8 +1,9 @@
 """The corpus operators' queries and their SQL, for ``__spark_entry__.py``."""
 
-from quire.llm import arrow_tokens, entropy_mix, lang_embed, line_runs, simhash_ball, suffix_decontam, url_markov
+from quire.llm import arrow_tokens, entropy_mix, hnsw, lang_embed, line_runs, pfp_dedup, simhash_ball, suffix_decontam, url_markov
 
 QUERIES = {
+    "op1_hnsw_ann": hnsw.op1,
     "op2_simhash_ball": simhash_ball.op2,
     "op4_line_runs": line_runs.op4,
     "op5_suffix_decontam": suffix_decontam.op5,
@@ -10,6 +11,7 @@ QUERIES = {
     "op7_entropy_mix": entropy_mix.op7,
     "op8_lang_embed": lang_embed.op8,
     "op9_arrow_tokens": arrow_tokens.op9,
+    "op10_pfp_dedup": pfp_dedup.op10,
 }
 SQL = {
     "op4_line_runs": line_runs.OP4_SQL,
