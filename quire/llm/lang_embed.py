@@ -198,18 +198,30 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return fit([(r.t, r.l) for r in sorted(rows)], **options)
 
 
-def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns doc_id, lang_pred, score, rejected."""
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model.__dict__)
+def predictor(spark: SparkSession, model: Model):
+    """A function from a text column to a struct (lang_pred, score, rejected)."""
+    sent = spark.sparkContext.broadcast(model.__dict__)
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double, rejected boolean")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Model(**sent.value)
-        for pdf in it:
-            lang, score, out = model.predict([t if isinstance(t, str) else None for t in pdf["text"]])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": lang, "score": score, "rejected": out})
+        for some in texts:
+            lang, score, out = model.predict([t if isinstance(t, str) else None for t in some])
+            yield pd.DataFrame({"lang_pred": lang, "score": score, "rejected": out})
+
+    return run
+
+
+def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Columns doc_id, lang_pred, score, rejected; one row for each row of ``docs``."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), predictor(docs.sparkSession, model)(F.col(text)).alias("p"))
+    return own.select("doc_id", "p.*")
+
 
-    return own.mapInPandas(run, f"doc_id {dict(own.dtypes)['doc_id']}, lang_pred string, score double, rejected boolean")
+def keep_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language the model does not reject."""
+    judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predictor(docs.sparkSession, model)(F.col(text)).alias("p"))
+    return judged.where(~F.col("p.rejected")).select("row.*")
 
 
 def remainder(doc_id: str = "doc_id"):
