@@ -19,7 +19,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +37,8 @@ from quire.llm.common import materialise, release, scratch_path
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
-#: Words whose ids a task remembers before it starts anew.
-CACHE_WORDS = 500_000
+#: Words whose ids a Python worker remembers; as many older ones are kept besides.
+CACHE_WORDS = 400_000
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" \s")
 
@@ -57,17 +60,45 @@ class Encoder:
         self.dtype = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _parts(self, piece: str) -> list[str] | None:
+        """Smaller pieces that the piece is made of: at single newlines between words, and at a sign after a letter. None if there are none."""
+        if "\n" in piece:
+            lines = piece.split("\n")
+            if all(x and not x[-1].isspace() and (not k or not x[0].isspace()) for k, x in enumerate(lines)):
+                return [x for line in lines for x in (line, "\n")][:-1]
+        elif len(piece) > 2 and piece[-1] in ",.;:!?" and piece[-2].isalpha():
+            return [piece[:-1], piece[-1]]
+        return None
 
     def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
+        """Remember the ids of new pieces: from the older words, from their parts, or from the tokenizer."""
+        old, plain, made = self.old, [], []
+        for p in pieces:
+            if p in old:
+                self.cache[p] = old[p]
+                continue
+            parts = self._parts(p)
+            if parts is None:
+                plain.append(p)
+            else:
+                made.append((p, parts))
+        if made:
+            new = {x for _, parts in made for x in parts}.difference(self.cache, plain)
+            self._learn(sorted(new))
+        code = "H" if self.dtype == np.uint16 else "I"
+        for at in range(0, len(plain), 20_000):
+            some = plain[at : at + 20_000]
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.cache[p] = np.array(e.ids, self.dtype).tobytes()
+                self.cache[p] = array(code, e.ids).tobytes()
+        for p, parts in made:
+            self.cache[p] = b"".join([self.cache[x] for x in parts])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+            self.old, self.cache = self.cache, {}
         cut: list[list[str] | None] = []
         for t in texts:
             if any(a in t for a in self.added):
@@ -85,6 +116,15 @@ class Encoder:
         return whole
 
 
+def encoder(path: str, ordinary_specials: bool) -> Encoder:
+    """One encoder for each Python worker, so that what it has learnt serves the worker's next tasks."""
+    kept = sys.modules.setdefault("_quire_encoders", types.ModuleType("_quire_encoders")).__dict__
+    key = f"{path} {ordinary_specials}"
+    if key not in kept:
+        kept[key] = Encoder(path, ordinary_specials)
+    return kept[key]
+
+
 def _store(uri: str) -> tuple[pa.fs.FileSystem, str]:
     if "://" in uri or uri.startswith("file:"):
         fs, path = pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
@@ -192,11 +232,11 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, doc_id: str = "doc_i
             for at in range(0, len(pdf), 500):
                 some = pdf.iloc[at : at + 500]
                 if writer is None:
-                    encoder = Encoder(tokenizer, ordinary_specials)
-                    end = np.array([end_id], encoder.dtype).tobytes()
-                    writer = SequenceWriter(f"{out}/part-{part:06d}.arrow", length, encoder.dtype, end_id)
+                    own = encoder(tokenizer, ordinary_specials)
+                    end = np.array([end_id], own.dtype).tobytes()
+                    writer = SequenceWriter(f"{out}/part-{part:06d}.arrow", length, own.dtype, end_id)
                 sizes = []
-                for ids in encoder(some["text"].tolist()):
+                for ids in own(some["text"].tolist()):
                     writer.add(ids + end)
                     sizes.append(len(ids) // len(end) + 1)
                 starts = total + np.cumsum([0, *sizes])
