@@ -1,10 +1,11 @@
 """The corpus operators' queries and their SQL, for ``__spark_entry__.py``."""
 
-from quire.llm import arrow_tokens, entropy_mix, hnsw, lang_embed, line_runs, pfp_dedup, simhash_ball, suffix_decontam, url_markov
+from quire.llm import arrow_tokens, entropy_mix, hnsw, lang_embed, line_runs, pfp_dedup, pii_disclosure, simhash_ball, suffix_decontam, url_markov
 
 QUERIES = {
     "op1_hnsw_ann": hnsw.op1,
     "op2_simhash_ball": simhash_ball.op2,
+    "op3_pii_disclosure": pii_disclosure.op3,
     "op4_line_runs": line_runs.op4,
     "op5_suffix_decontam": suffix_decontam.op5,
     "op6_url_markov": url_markov.op6,
