@@ -39,6 +39,11 @@ def lookup(key: Column, table: dict[str, str]) -> Column:
     return F.get(F.array(*[F.lit(v) for v in table.values()]), F.array_position(F.array(*[F.lit(k) for k in table]), key).cast("int") - 1)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; plain nesting would repeat its code at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Unicode white space off both ends."""
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
@@ -55,8 +60,12 @@ def squeeze(col: Column) -> Column:
 
 def stem_code(stem: Column) -> Column:
     """Code of a file stem, null if the stem does not follow the convention."""
-    part = [F.regexp_extract(stem, STEM, k) for k in range(1, 5)]
-    return F.when(stem.rlike(STEM), F.concat_ws("/", part[0], part[3], lookup(part[1], SEASON_LETTERS), part[2]))
+
+    def code(s: Column) -> Column:
+        part = [F.regexp_extract(s, STEM, k) for k in range(1, 5)]
+        return F.when(s.rlike(STEM), F.concat_ws("/", part[0], part[3], lookup(part[1], SEASON_LETTERS), part[2]))
+
+    return let(stem, code)
 
 
 def parse_code(code: Column) -> Column:
@@ -73,10 +82,13 @@ def parse_code(code: Column) -> Column:
 
 def normalise_code(code: Column) -> Column:
     """Trimmed, upper-cased, variant padded to two digits; null if it does not parse."""
-    c = F.upper(strip(code))
-    part = [F.regexp_extract(c, CODE, k) for k in range(1, 6)]
-    number = F.regexp_replace(part[1], "^0+(?=.)", "")
-    return F.when(c.rlike(CODE), F.concat_ws("/", part[0], F.when(F.length(number) < 2, F.lpad(number, 2, "0")).otherwise(number), part[2], part[3], part[4]))
+
+    def padded(c: Column) -> Column:
+        part = F.split(c, "/")
+        number = F.regexp_replace(part[1], "^0+(?=.)", "")
+        return F.when(c.rlike(CODE), F.concat_ws("/", part[0], F.when(F.length(number) < 2, F.lpad(number, 2, "0")).otherwise(number), part[2], part[3], part[4]))
+
+    return let(F.upper(strip(code)), padded)
 
 
 def unpadded_code(code: Column) -> Column:

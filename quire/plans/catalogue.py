@@ -555,10 +555,10 @@ def audit_orphans(spark, d):
     return _report(spark, d).where("category = 'orphan'").select("key")
 
 
-def _report(spark, d):
+def _report(spark, d, full_paper=40):
     papers = V.v_papers(spark, d).where("paper_id % 4 <> 0")
     q = V.v_questions(spark, d).where("paper_id % 4 <> 0").withColumn("text", F.when(c("doc_id") % 9 == 0, "  ").when(c("doc_id") % 11 == 0, None).otherwise(c("text")))
-    return audit.audit(papers, q, V.v_stems(spark, d))
+    return audit.audit(papers, q, V.v_stems(spark, d), full_paper=full_paper)
 
 
 @query("SELECT paper_code AS key, count(*)::VARCHAR AS detail FROM v_questions WHERE paper_id%4<>0 AND (doc_id%9=0 OR doc_id%11=0 OR trim(text, ' ')='' OR text IS NULL) GROUP BY paper_code", "v_questions")
@@ -566,9 +566,9 @@ def audit_textless(spark, d):
     return _report(spark, d).where("category = 'textless'").select("key", "detail")
 
 
-@query(f"WITH {STORED}, n AS (SELECT paper_code, count(*) AS n FROM v_questions GROUP BY 1) SELECT found AS key, n::VARCHAR AS detail FROM (SELECT DISTINCT found FROM fa WHERE found IS NOT NULL) JOIN n ON n.paper_code=found WHERE split_part(found,'/',2) LIKE '1%' AND n < 40", "v_stems", "v_questions")
+@query(f"WITH {STORED}, n AS (SELECT paper_code, count(*) AS n FROM v_questions GROUP BY 1) SELECT found AS key, n::VARCHAR AS detail FROM (SELECT DISTINCT found FROM fa WHERE found IS NOT NULL) JOIN n ON n.paper_code=found WHERE split_part(found,'/',2) LIKE '1%' AND n < 41", "v_stems", "v_questions")
 def audit_short(spark, d):
-    return _report(spark, d).where("category = 'short'").select("key", "detail")
+    return _report(spark, d, 41).where("category = 'short'").select("key", "detail")
 
 
 @query(f"WITH {STORED} SELECT found AS key FROM (SELECT DISTINCT found FROM fa WHERE found IS NOT NULL) WHERE found NOT IN (SELECT paper_code FROM v_questions)", "v_stems", "v_questions")

@@ -13,6 +13,7 @@ from typing import Any, Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Labels of two detectors and the types they stand for; anything else is "other".
 TYPES = {
@@ -65,7 +66,7 @@ def batched(make: Callable[[], Callable[[list], list]], items: list, size: int)
 
 def apply_model(df: DataFrame, column: str, make: Callable[[], Callable[[list], list]], name: str, kind: str, size: int = 16) -> DataFrame:
     """``df`` with a model's result for ``column`` as JSON read into ``kind``."""
-    schema = df.schema.add("_result", "string")
+    schema = T.StructType([*df.schema.fields, T.StructField("_result", T.StringType())])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
