@@ -133,8 +133,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, str]], buckets: int = BUCKETS, dimension: int = DIMENSION, epochs: int = 6, rate: float = 0.5, reject: float = 0.001, seed: int = 1) -> Model:
-    """Train on (text, lang) rows: every fifth row is kept for calibration.
+def fit(rows: list[tuple[str, str]], buckets: int = BUCKETS, dimension: int = DIMENSION, steps: int = 20_000, rate: float = 0.5, reject: float = 0.001, seed: int = 1) -> Model:
+    """Train on (text, lang) rows in about ``steps`` steps: every fifth row is kept for calibration.
 
     ``reject``: share of the calibration rows that the floor may reject.
     """
@@ -153,6 +153,8 @@ def fit(rows: list[tuple[str, str]], buckets: int = BUCKETS, dimension: int = DI
         at = int(rng.integers(0, max(1, len(t) - size + 1)))
         return np.concatenate([b for _, b in subwords(_codes(t[at : at + size]), buckets)])
 
+    # As many steps whatever the sample: small ones are gone through more often.
+    epochs = -(-steps // len(train))
     n = epochs * len(train)
     step = 0
     for _ in range(epochs):

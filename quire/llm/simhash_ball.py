@@ -59,6 +59,32 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def _hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of the text's shingles."""
+    words = text.encode("utf-8", "replace").translate(_FOLD).split() if text else []
+    if not words:
+        return np.zeros(0, np.uint64)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = [0, *(ends[:-1] + 1).tolist()]
+    joined, digest = b" ".join(words), xxhash.xxh64_digest
+    raw = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends[min(shingle, len(words)) - 1 :].tolist(), strict=False)])
+    return np.frombuffer(raw, ">u8").astype(np.uint64)
+
+
+def several(text: str | None, shingle: int, seeds: int) -> list[int]:
+    """Fingerprints of the same shingles by independent hashes."""
+    h, out = _hashes(text, shingle), []
+    for s in range(seeds):
+        x = h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s * 0x632BE59BD9B4E019 % 2**64)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(29)
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(x), 60_000):
+            ones += np.unpackbits(x[at : at + 60_000].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.uint16)
+        out.append(int.from_bytes(np.packbits(2 * ones > len(x)).tobytes(), "big", signed=True))
+    return out
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Columns doc_id, fp (the 64 bits as a signed long), one row for each row of ``docs``."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -153,6 +179,44 @@ def links(fps: np.ndarray, group: int, bits: int) -> tuple[np.ndarray, np.ndarra
     return fps[label[other]], fps[other]
 
 
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of edges that span the components of the graph: each round, every root takes its edge to the smallest other root."""
+    label, kept = np.arange(n), [np.zeros(0, np.int64)]
+    while True:
+        la, lb = label[a], label[b]
+        at = np.flatnonzero(la != lb)
+        if not len(at):
+            return np.concatenate(kept)
+        hi, lo = np.maximum(la[at], lb[at]), np.minimum(la[at], lb[at])
+        order = np.lexsort((lo, hi))
+        first = order[np.concatenate([[True], hi[order][1:] != hi[order][:-1]])]
+        kept.append(at[first])
+        up = np.arange(n)
+        up[hi[first]] = lo[first]
+        while (up[up] != up).any():
+            up = up[up]
+        label = up[label]
+
+
+def near_links(fps: np.ndarray, group: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``links``, but every pair is itself within the radius: a spanning forest of the pairs that meet."""
+    fps = np.unique(fps)
+    top = np.bitwise_count((fps >> np.uint64(64 - bits)) ^ np.uint64(group)).astype(np.int64)
+    pairs = [np.zeros(0, np.int64)]
+    for g, own in meet(fps, RADIUS // 2 - top, 64 - bits):
+        order = np.lexsort((own, g))
+        g, own = g[order], own[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        head = np.repeat(own[first], np.diff(np.concatenate([first, [len(g)]])))
+        pairs.append(np.unique(head * len(fps) + own))
+    pair = np.unique(np.concatenate(pairs))
+    a, b = pair // max(1, len(fps)), pair % max(1, len(fps))
+    near = (a != b) & (np.bitwise_count(fps[a] ^ fps[b]) <= RADIUS)
+    a, b = a[near], b[near]
+    kept = forest(len(fps), a, b)
+    return fps[a[kept]], fps[b[kept]]
+
+
 def leading_bits(n: int) -> int:
     """So many that a group of ``n`` fingerprints' variants holds GROUP_VARIANTS on average."""
     return min(30, max(1, math.ceil(math.log2(max(2, n * 2081 / GROUP_VARIANTS)))))
@@ -189,6 +253,70 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return own.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+SEEDS = 6
+
+
+def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seeds: int = SEEDS, features: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Columns doc_id, component_id: documents linked by copies and by pairs whose sets of ``shingle``-word shingles are ``similarity`` alike.
+
+    One fingerprint of four- or five-word shingles at 4 bits misses most pairs near 0.8, so candidates
+    come from ``seeds`` fingerprints of ``features``-word shingles, by the same ball hashing, and each is
+    verified on the texts' whole shingle sets. Exact copies are grouped first and go on as one. A group's
+    candidates are a spanning forest of its near pairs; every fingerprint stands in many groups.
+    Texts without words are alike; a null doc_id stands alone among its exact copies.
+    """
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = own.withColumns({"c1": F.xxhash64("text"), "c2": F.xxhash64(F.lit("copy"), "text")})
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pdf[["doc_id", "c1", "c2"]].assign(fps=[several(t, features, seeds) for t in pdf["text"]])
+
+    base = materialise(own.mapInPandas(run, "doc_id long, c1 long, c2 long, fps array<long>"), "base")
+    reps = materialise(base.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps")), "reps")
+    each = reps.where("rep is not null").select("rep", F.posexplode("fps").alias("seed", "fp"))
+    first = materialise(each.groupBy("seed", "fp").agg(F.min("rep").alias("first")), "first")
+    bits = leading_bits(reps.count())
+    near = F.array(*[F.lit(int(m)).cast("long") for m in masks(bits, RADIUS // 2)])
+    dealt = first.select("seed", "fp", F.explode(F.transform(near, lambda m: F.shiftrightunsigned("fp", 64 - bits).bitwiseXOR(m))).alias("group"))
+
+    def pairs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = near_links(pdf["fp"].to_numpy().view(np.uint64), int(key[1]), bits)
+        return pd.DataFrame({"seed": int(key[0]), "a": a.view(np.int64), "b": b.view(np.int64)})
+
+    met = dealt.groupBy("seed", "group").applyInPandas(pairs, "seed int, a long, b long").distinct()
+    side = lambda k: first.select("seed", F.col("fp").alias(k), F.col("first").alias(f"doc_{k}"))
+    cross = met.join(side("a"), ["seed", "a"]).join(side("b"), ["seed", "b"]).select("doc_a", "doc_b")
+    same = each.join(first, ["seed", "fp"]).where("rep <> first").select(F.col("first").alias("doc_a"), F.col("rep").alias("doc_b"))
+    found = cross.unionAll(same).select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).where("a <> b").distinct()
+    found = materialise(found, "pairs")
+    release(docs.sparkSession)
+    ids = found.select(F.col("a").alias("doc_id")).unionAll(found.select("b")).distinct()
+
+    def shingles(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pdf[["doc_id"]].assign(s=[np.unique(_hashes(t, shingle)).tobytes() for t in pdf["text"]])
+
+    chosen = own.join(reps.select("c1", "c2", F.col("rep").alias("doc_id")).join(ids, "doc_id", "left_semi"), ["doc_id", "c1", "c2"], "left_semi")
+    sets = materialise(chosen.select("doc_id", "text").mapInPandas(shingles, "doc_id long, s binary").dropDuplicates(["doc_id"]), "sets")
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both >= similarity * (len(x) + len(y) - both))
+        return pd.Series(out)
+
+    left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
+    links_ = found.join(left, "a").join(right, "b").where(alike("sa", "sb")).select("a", "b")
+    groups = components(links_)
+    release(docs.sparkSession)
+    of_rep = reps.join(groups, reps.rep == groups.node, "left").select("c1", "c2", F.coalesce("root", "rep").alias("component_id"))
+    return base.select("doc_id", "c1", "c2").join(of_rep, ["c1", "c2"]).select("doc_id", "component_id")
+
+
 def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 

@@ -65,6 +65,49 @@ def test_dense_fingerprints(spark, monkeypatch, room):
     assert got.groupby(want).nunique().max() == 1 and want.groupby(got).nunique().max() == 1
 
 
+def test_similar_documents(make_docs):
+    rng = np.random.default_rng(4)
+    vocab = ["".join(rng.choice(list("abcdefghij"), int(n))) for n in rng.integers(2, 8, 3000)]
+    base = [[vocab[int(k)] for k in rng.zipf(1.3, 300) % 3000] for _ in range(60)]
+    rows = [(k, " ".join(w)) for k, w in enumerate(base)]
+    for k, w in enumerate(base):
+        v = list(w)
+        for at in rng.choice(300, k % 12, replace=False):
+            v[int(at)] = f"edit{int(at)}"
+        rows.append((100 + k, " ".join(v)))
+    rows += [(500, rows[3][1]), (501, None), (502, ""), (503, "one"), (503, "one"), (None, rows[4][1]), (504, "é " * 30000)]
+    out = simhash_ball.similar_documents(make_docs(rows)).collect()
+    got = {r.doc_id: r.component_id for r in out}
+
+    def alike(x, y):
+        a, b = ({tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (x, y))
+        return len(a & b) / len(a | b)
+
+    text = dict(rows)
+    same = [alike(text[k], text[100 + k]) >= 0.8 for k in range(60)]
+    linked = [got[100 + k] == k for k in range(60)]
+    assert len(out) == len(rows) and not any(b and not a for a, b in zip(same, linked, strict=True))
+    assert sum(a and b for a, b in zip(same, linked, strict=True)) >= 0.85 * sum(same)
+    assert got[500] == 3 and got[501] == got[502] == 501 and got[503] == 503 and got[None] == 4 and got[504] == 504
+    assert simhash_ball.similar_documents(make_docs([])).count() == 0
+
+
+def test_forest():
+    rng = np.random.default_rng(0)
+    a, b = rng.integers(0, 60, 80), rng.integers(0, 60, 80)
+    kept = simhash_ball.forest(60, a, b)
+    join = lambda edges: brute_components_of(60, a[edges], b[edges])
+    assert join(kept) == join(np.arange(80)) and len(kept) == 60 - len(set(join(kept)))
+
+
+def brute_components_of(n, a, b):
+    label = list(range(n))
+    for _ in range(n):
+        for x, y in zip(a, b, strict=True):
+            label[x] = label[y] = min(label[x], label[y])
+    return label
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40) if k % 10] + [(100, 105), (105, 100), (7, 7)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -126,7 +169,7 @@ def test_urls(spark):
     assert (by[at + 5].host, by[at + 5].path) == ("b:", "//c/d")
     assert by[at + 6].rule is None and by[at + 7].rule == "org/es/" and by[at + 9].rule == "example.net/de/8" and by[at + 8].host == "Éx.net"
     # The models tell the rules' classes apart on the URLs' characters.
-    score = got[got.page_id < 100].drop_duplicates("page_id").set_index("page_id").score
+    score = got[got.page_id < 100].drop_duplicates("page_id").set_index("page_id").score.sort_index()
     assert score[60:].mean() > score[:60].mean()
     assert set(got.verdict) <= {"allow", "block"}
     assert url_markov.judge(df.limit(0)).count() == 0

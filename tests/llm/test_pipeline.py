@@ -17,7 +17,7 @@ def test_stages(spark, sf_dir, documents):
 
     kept = materialise(stage["near_dedup"](spark, docs, sf_dir), "t")
     groups = {}
-    for r in simhash_ball.near_duplicates(docs, shingle=5).collect():
+    for r in simhash_ball.similar_documents(docs).collect():
         groups.setdefault(r.component_id, set()).add(r.doc_id)
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == COLUMNS and sorted(ids) == sorted(groups)
