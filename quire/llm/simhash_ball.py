@@ -254,6 +254,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 SEEDS = 6
+#: Rows of three numbers up to which the documents to verify are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seeds: int = SEEDS, features: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -276,7 +278,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     reps = materialise(base.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps")), "reps")
     each = reps.where("rep is not null").select("rep", F.posexplode("fps").alias("seed", "fp"))
     first = materialise(each.groupBy("seed", "fp").agg(F.min("rep").alias("first")), "first")
-    bits = leading_bits(reps.count())
+    # Wider groups than for one fingerprint: fewer rows are dealt, and crowded groups are sliced anyway.
+    bits = leading_bits(reps.count() // 4)
     near = F.array(*[F.lit(int(m)).cast("long") for m in masks(bits, RADIUS // 2)])
     dealt = first.select("seed", "fp", F.explode(F.transform(near, lambda m: F.shiftrightunsigned("fp", 64 - bits).bitwiseXOR(m))).alias("group"))
 
@@ -292,12 +295,15 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     found = materialise(found, "pairs")
     release(docs.sparkSession)
     ids = found.select(F.col("a").alias("doc_id")).unionAll(found.select("b")).distinct()
+    wanted = materialise(reps.select("c1", "c2", F.col("rep").alias("doc_id")).join(ids, "doc_id", "left_semi"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
 
     def shingles(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             yield pdf[["doc_id"]].assign(s=[np.unique(_hashes(t, shingle)).tobytes() for t in pdf["text"]])
 
-    chosen = own.join(reps.select("c1", "c2", F.col("rep").alias("doc_id")).join(ids, "doc_id", "left_semi"), ["doc_id", "c1", "c2"], "left_semi")
+    chosen = own.join(wanted, ["doc_id", "c1", "c2"], "left_semi")
     sets = materialise(chosen.select("doc_id", "text").mapInPandas(shingles, "doc_id long, s binary").dropDuplicates(["doc_id"]), "sets")
 
     @F.pandas_udf("boolean")
