@@ -69,7 +69,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     sized = materialise(
         docs.select(
             F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text)).alias("h"),
+            F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(text)).alias("h"), F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))).alias("o"),
         ), "sizes",
     )
     sources = materialise(sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")), "sources")
@@ -77,7 +77,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     whole = F.least(F.floor(F.col("rate") * (1 + 1e-12)), F.lit(most))
     solved = solved.withColumn("whole", whole).withColumn("extra", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("words")))
     n = max(1, math.ceil((sources.agg(F.sum("docs")).first()[0] or 0) / BUCKET_ROWS))
-    sized = sized.withColumn("bucket", F.floor((F.shiftrightunsigned("h", 1) / F.lit(float(2**63))) * n))
+    sized = sized.withColumn("bucket", F.floor(F.conv(F.left("o", F.lit(8)), 16, 10).cast("double") / F.lit(float(2**32)) * n))
     order = Window.partitionBy("source").orderBy("bucket")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("s")).withColumn("upto", F.sum("s").over(order)).withColumn("before", F.col("upto") - F.col("s"))
     # The bucket in which the extra words of a source run out.
@@ -91,7 +91,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     plan = materialise(plan, "plan")
     on = F.expr("source <=> src")
     both = sized.join(plan, on).drop("src")
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("o", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edges = both.where("bucket = edge").withColumn("more", (F.col("edge_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2 <= F.col("extra")).cast("long"))
     rest = both.where("edge is null or bucket <> edge").withColumn("more", ((F.col("extra") > 0) & (F.coalesce(F.col("bucket") < F.col("edge"), F.lit(False)))).cast("long"))
     copies = F.least(F.col("whole") + F.col("more"), F.lit(most)).cast("long")
@@ -103,3 +103,32 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(concat(doc_id, ':', text)) AS o
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS words FROM d GROUP BY source
+), r AS (
+  SELECT *, list_extract([5.0, 2.0, 1.0]::DOUBLE[], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT) AS w FROM s
+), c AS (
+  SELECT sum(2.0::DOUBLE * words) OVER p AS full_words, sum(w) OVER () - sum(w) OVER p AS free_weight
+  FROM r WINDOW p AS (ORDER BY 2.0::DOUBLE * words / w, source ROWS UNBOUNDED PRECEDING)
+), l AS (
+  SELECT greatest(1.5::DOUBLE * (SELECT sum(words) FROM s) / (SELECT sum(w) FROM r),
+                  (SELECT max((1.5::DOUBLE * (SELECT sum(words) FROM s) - full_words) / free_weight) FROM c WHERE free_weight > 0)) AS level
+), t AS (
+  SELECT source, words, least(2.0::DOUBLE * words, w * level) AS target FROM r, l
+), x AS (
+  SELECT *, CASE WHEN words > 0 THEN least(floor(target / words * (1 + 1e-12::DOUBLE)), 2) ELSE 0 END AS whole FROM t
+), m AS (
+  SELECT d.doc_id, d.size, x.words, x.target, x.whole, greatest(0, x.target - x.whole * x.words) AS extra,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) - d.size AS before
+  FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source
+)
+SELECT doc_id, size, words AS source_size, target,
+       (least(whole + CASE WHEN before + size / 2 <= extra THEN 1 ELSE 0 END, 2) * size)::BIGINT AS taken
+FROM m
+"""

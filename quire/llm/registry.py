@@ -17,4 +17,5 @@ QUERIES = {
 SQL = {
     "op4_line_runs": line_runs.OP4_SQL,
     "op5_suffix_decontam": suffix_decontam.OP5_SQL,
+    "op7_entropy_mix": entropy_mix.OP7_SQL,
 }

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm import line_runs, pfp_dedup, pii_disclosure, suffix_decontam
+from quire.llm import entropy_mix, line_runs, pfp_dedup, pii_disclosure, suffix_decontam
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -50,9 +50,9 @@ def test_line_batches(spark, make_docs):
     assert runs.counts().agg(F.max("n")).first()[0] == 5
 
 
-@pytest.mark.parametrize("name", ["op4", "op5"])
+@pytest.mark.parametrize("name", ["op4", "op5", "op7"])
 def test_against_sql(spark, sf_dir, name):
-    module = {"op4": line_runs, "op5": suffix_decontam}[name]
+    module = {"op4": line_runs, "op5": suffix_decontam, "op7": entropy_mix}[name]
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
