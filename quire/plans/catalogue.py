@@ -630,5 +630,5 @@ def failed_removal(spark, d):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classify the questions, store them, and fetch those of one topic."""
-    return by_topic(spark, sf_dir)
+    """Classify the questions, store them, and fetch those of some marks with their topics and options."""
+    return store(spark, sf_dir).by_marks(2, 6)
