@@ -156,13 +156,26 @@ def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), low).alias("doc"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text"))
 
 
+def _places(c: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Order by trigger, phrase and place; a place that is there twice, from a repeated row, counts once."""
+    keys = (c["pos"], c["th"], c["doc"], c["phrase"], c["trigger"])
+    order = np.lexsort(keys)
+    twice = np.ones(max(0, len(order) - 1), bool)
+    for k in keys:
+        twice &= k[order[1:]] == k[order[:-1]]
+    if not twice.any():
+        return order, c
+    c = {k: v[np.sort(order[np.concatenate([[True], ~twice])])] for k, v in c.items()}
+    return np.lexsort((c["pos"], c["th"], c["doc"], c["phrase"], c["trigger"])), c
+
+
 def parse(own: DataFrame, buckets: int) -> DataFrame:
     """(bucket, firsts, again): packed triggers, by trigger; those whose phrase stands earlier in the same block, by document."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _documents(it):
             c = block.triggers()
-            order = np.lexsort((c["pos"], c["th"], c["doc"], c["phrase"], c["trigger"]))
+            order, c = _places(c)
             t, p = c["trigger"][order], c["phrase"][order]
             known = np.concatenate([[False], (t[1:] == t[:-1]) & (p[1:] == p[:-1])]) if len(order) else np.zeros(0, bool)
             again = np.zeros(len(order), bool)
@@ -189,8 +202,7 @@ def dictionary(parsed: DataFrame) -> DataFrame:
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         again = unpack(pdf["again"].tolist(), PARTS[2:])
-        c = unpack(pdf["firsts"].tolist())
-        order = np.lexsort((c["pos"], c["th"], c["doc"], c["phrase"], c["trigger"]))
+        order, c = _places(unpack(pdf["firsts"].tolist()))
         c = {k: v[order] for k, v in c.items()}
         t, p = c["trigger"], c["phrase"]
         same = np.concatenate([[False], t[1:] == t[:-1]]) if len(t) else np.zeros(0, bool)
@@ -230,7 +242,7 @@ def _strings(raw: np.ndarray, c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.
 def fetch(own: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
     """(bucket, phrases, raw, strings): the bytes of the phrases to be ranked, packed by trigger; strings of crowded triggers, by string."""
     wanted = places.where("kind > 0").groupBy("doc", "th").agg(F.collect_list(F.struct("start", "trigger", "kind")).alias("w"))
-    rows = own.select("doc", "th", "text").distinct().join(wanted, ["doc", "th"])
+    rows = own.select("doc", "th", "text").join(wanted, ["doc", "th"])
 
     def emit(c: dict[str, np.ndarray], raw: np.ndarray, kind: np.ndarray) -> pd.DataFrame:
         out = []
@@ -311,6 +323,10 @@ def rank(fetched: DataFrame) -> DataFrame:
 def repeats(key: np.ndarray, doc: np.ndarray, th: np.ndarray, pos: np.ndarray, before: np.ndarray) -> pd.DataFrame:
     """Bytes covered by the strings whose key stands earlier, as runs."""
     order = np.lexsort((pos, th, doc, key))
+    if len(order):
+        k, d, h, p = key[order], doc[order], th[order], pos[order]
+        twice = (k[1:] == k[:-1]) & (d[1:] == d[:-1]) & (h[1:] == h[:-1]) & (p[1:] == p[:-1])
+        order = order[np.concatenate([[True], ~twice])]
     k = key[order]
     dup = order[1:][k[1:] == k[:-1]]
     doc, th, start = doc[dup], th[dup], pos[dup].astype(np.int64) - before[dup]
