@@ -20,11 +20,11 @@ SCHEMA = "paper int, page int, block_ord int, region_ord int, type string, x0 do
 def test_paper(spark):
     rows = [
         block(1, 0, "text", 300, 30, "2"), block(1, 1, "header", 50, 10, "header"), block(1, 2, "text", 50, 100, "1", "First question"),
-        block(1, 3, "text", 50, 130, "A", "one"), block(1, 4, "image", 50, 160), block(2, 5, "text", 50, 96, "carved"), block(2, 6, "text", 50, 100, "2", "Second"),
-        block(2, 7, "text", 500, 150, "For Examiner’s Use"), block(3, 8, "text", 50, 50, "3.", "Third"), block(3, 9, "text", 50, 400, "Permission to reproduce items"), block(3, 10, "text", 50, 500, "4", "never"),
+        block(1, 3, "text", 50, 130, "A", "one"), block(1, 4, "image", 50, 160), block(2, 5, "text", 50, 96, "carved"), block(2, 6, "text", 50, 100, "3", "Second"),
+        block(2, 7, "text", 500, 150, "For Examiner’s Use"), block(3, 8, "text", 50, 50, "4.", "Third"), block(3, 9, "text", 50, 400, "Permission to reproduce items"), block(3, 10, "text", 50, 500, "5", "never"),
     ]
     got = segment.parse_blocks(spark.createDataFrame(rows, SCHEMA)).orderBy("question").collect()
-    assert [(r.question, r.page, r.end_page, r.text) for r in got] == [(1, 1, 1, "1 First question A one"), (2, 2, 2, "carved 2 Second"), (3, 3, 3, "3. Third")]
+    assert [(r.question, r.page, r.end_page, r.text) for r in got] == [(1, 1, 1, "1 First question A one"), (3, 2, 2, "carved 3 Second"), (4, 3, 3, "4. Third")]
     assert got[0].lines == ["1 First question", "A one"]
     assert [(x.type, x.region_ord) for x in got[0].regions] == [("image", 4)]
     assert segment.parse_blocks(spark.createDataFrame([], SCHEMA)).count() == 0
