@@ -57,11 +57,14 @@ def _remove_all() -> None:
             return
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage: write the rows as Parquet in the shared folder and read them back."""
+def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
+    """Cut lineage: write the rows as Parquet in the shared folder and read them back.
+
+    Writers of zstd hold native memory outside the heap; many small files are better off with snappy.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._quire_path = path
     return out

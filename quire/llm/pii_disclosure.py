@@ -89,17 +89,20 @@ def disclosing_terms(own: DataFrame, spans: DataFrame, ratio: float = 0.9, min_d
     entity = F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1), F.when(F.col("kind") >= 2, F.regexp_replace("value", r"[^0-9]", "")).otherwise(F.lower("value")))
     around = spans.select("doc_id", "th", entity.alias("entity"), F.concat_ws("\n", "left", "right").alias("around"))
     entities = around.groupBy("entity").agg(F.count_distinct("th", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("df_e"))
-    pairs = around.select("doc_id", "th", "entity", F.explode(_terms(F.col("around"))).alias("term")).distinct()
-    pairs = pairs.groupBy("term", "entity").agg(F.count("*").alias("df_te")).where(F.col("df_te") >= min_docs)
-    pairs = materialise(pairs, "pairs")
-    words = own.select(F.explode(_terms(F.col("text"))).alias("term")).join(_small(pairs.select("term").distinct()), "term", "left_semi")
-    df_t = words.groupBy("term").agg(F.count("*").alias("df_t"))
     n = own.count()
-    bits = F.log2(n * F.col("df_te") / (F.col("df_t") * F.col("df_e")))
     content = F.log2(n / F.col("df_e"))
+    bits = lambda df_t: F.log2(n * F.col("df_te") / (F.col(df_t) * F.col("df_e")))
+    near = around.select("doc_id", "th", "entity", F.explode(_terms(F.col("around"))).alias("term")).distinct()
+    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("df_te")).where(F.col("df_te") >= min_docs).join(entities, "entity")
+    # A term is in as many documents at least as it stands near any entity: most pairs fail on that alone.
+    least = near.select("doc_id", "th", "term").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    pairs = pairs.join(least, "term").where((content > 0) & (bits("least") >= ratio * content))
+    pairs = materialise(pairs, "pairs", "snappy")
+    words = own.select(F.explode(_terms(F.col("text"))).alias("term")).join(_small(pairs.select("term").distinct()), "term", "left_semi")
+    df_t = words.groupBy("term").agg(F.count("*").alias("df_t"))
     return (
-        pairs.join(entities, "entity").join(df_t, "term").withColumn("bits", bits).withColumn("content", content)
-        .where((F.col("content") > 0) & (F.col("bits") >= ratio * F.col("content")))
+        pairs.join(df_t, "term").withColumn("bits", bits("df_t")).withColumn("content", content)
+        .where(F.col("bits") >= ratio * F.col("content"))
         .select("term", "entity", "bits", "content", (F.col("df_te") >= F.col("df_t")).alias("certain"))
     )
 
@@ -109,7 +112,7 @@ def term_spans(own: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
     flagged = terms.groupBy("term").agg(F.max("certain").alias("certain"))
     holds = own.select("doc_id", "th", F.explode(_terms(F.col("text"))).alias("term")).join(_small(flagged), "term")
     holds = holds.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("term")).alias("terms"), F.collect_set(F.when(F.col("certain"), F.col("term"))).alias("sure"))
-    holds = materialise(holds, "holds").select(F.col("doc_id").alias("hold_id"), F.col("th").alias("hold_th"), "terms", "sure")
+    holds = materialise(holds, "holds", "snappy").select(F.col("doc_id").alias("hold_id"), F.col("th").alias("hold_th"), "terms", "sure")
     docs = own.join(_small(holds), F.expr("doc_id <=> hold_id and th = hold_th"))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     docs = docs.withColumns({"gaps": F.split("text", pattern, -1), "found": F.regexp_extract_all("text", pattern, F.lit(0))})
@@ -131,8 +134,8 @@ def term_spans(own: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ratio: float = 0.9, min_docs: int = 3) -> DataFrame:
     """Columns doc_id, text, spans: array of struct(kind, start, stop, certain), by kind and start; one row for each row of ``docs``."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    base = materialise(base_spans(own), "base")
-    terms = materialise(disclosing_terms(own, base, ratio, min_docs), "terms")
+    base = materialise(base_spans(own), "base", "snappy")
+    terms = materialise(disclosing_terms(own, base, ratio, min_docs), "terms", "snappy")
     spans = base.select("doc_id", "th", "kind", "start", "stop", F.lit(False).alias("certain")).unionByName(term_spans(own, base, terms))
     lists = spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "stop", "certain"))).alias("spans"))
     lists = lists.select(F.col("doc_id").alias("span_id"), F.col("th").alias("span_th"), "spans")
