@@ -20,7 +20,9 @@ other as a representative; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -253,9 +255,61 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return own.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-SEEDS = 6
+SEEDS = 10
+#: Seeds whose variants are dealt at a time.
+SEEDS_AT_ONCE = 5
 #: Rows of three numbers up to which the documents to verify are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Documents that a family sets against its others in the first round; so many times more in each other round.
+HEADS = 8
+#: Classes, a multiple of 64, whose parities tell sets apart.
+SKETCH = 1024
+#: Parts that the members of one family are dealt to.
+PARTS = 32
+
+
+def further_links(links_: DataFrame, found: DataFrame, sets: DataFrame, alike, similarity: float) -> DataFrame:
+    """(a, b): verified links between the parts into which verification broke the components of the pairs ``found``.
+
+    In rounds, each component that is still in several parts sets ever more of its documents
+    against all members of its other parts, until it is one part or every pair across parts has been
+    compared. A pair is left out only where it cannot be ``similarity`` alike, by the sizes of its sets or by the
+    parities of their members in SKETCH classes: two sets differ in one member at least for each class of unequal parity.
+    """
+    spark = links_.sparkSession
+    families = components(found).withColumnRenamed("root", "family")
+
+    @F.pandas_udf("array<long>")
+    def parities(s: pd.Series) -> pd.Series:
+        odd = (np.bincount((np.frombuffer(x, np.uint64) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1 for x in s)
+        return pd.Series([np.packbits(x.astype(np.uint8)).view(np.int64) for x in odd])
+
+    sized = materialise(sets.select("doc_id", "s", (F.length("s") / 8).cast("long").alias("n"), parities("s").alias("odd")), "sized")
+    lo, hi = 0, HEADS
+    while True:
+        parts = families.join(components(links_), "node", "left").select(F.col("node").alias("doc_id"), "family", F.coalesce("root", "node").alias("part"))
+        parts = materialise(parts, "parts")
+        several_ = parts.groupBy("family").agg(F.count("*").alias("m"), F.min("part").alias("x"), F.max("part").alias("y")).where((F.col("x") != F.col("y")) & (F.col("m") > lo)).select("family", "m")
+        several_ = materialise(several_, "families")
+        n = several_.count()
+        if not n:
+            return links_
+        # A place in (0, 1), so that about k documents of m come before k / m.
+        place = (F.shiftrightunsigned(F.xxhash64(F.lit("place"), "doc_id"), 11).cast("double") + 0.5) / float(1 << 53)
+        members = parts.join(F.broadcast(several_) if n <= BROADCAST_ROWS else several_, "family").withColumn("place", place * F.col("m"))
+        members = materialise(members.join(sized, "doc_id").withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))), "members")
+        heads = members.where((F.col("place") >= lo) & (F.col("place") < hi)).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+        heads = heads.select("family", "deal", *[F.col(k).alias(f"{k}_a") for k in ("doc_id", "part", "place", "n", "s", "odd")])
+        after = F.struct("place", "doc_id") > F.struct(F.col("place_a").alias("place"), F.col("doc_id_a").alias("doc_id"))
+        differ = functools.reduce(operator.add, [F.bit_count(F.get("odd", F.lit(k)).bitwiseXOR(F.get("odd_a", F.lit(k)))) for k in range(SKETCH // 64)])
+        # Half a member of room for rounding.
+        fits = (F.least("n", "n_a") + 0.5 >= similarity * F.greatest("n", "n_a")) & (differ <= (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("n_a")) + 0.5)
+        pairs = members.join(heads, ["family", "deal"]).where((F.col("part") != F.col("part_a")) & after & fits)
+        more = pairs.where(alike("s_a", "s")).select(F.least("doc_id", "doc_id_a").alias("a"), F.greatest("doc_id", "doc_id_a").alias("b"))
+        links_ = materialise(links_.unionAll(more), "links")
+        discard(parts, several_, members)
+        release(spark)
+        lo, hi = hi, HEADS * hi
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seeds: int = SEEDS, features: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -264,7 +318,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     One fingerprint of four- or five-word shingles at 4 bits misses most pairs near 0.8, so candidates
     come from ``seeds`` fingerprints of ``features``-word shingles, by the same ball hashing, and each is
     verified on the texts' whole shingle sets. Exact copies are grouped first and go on as one. A group's
-    candidates are a spanning forest of its near pairs; every fingerprint stands in many groups.
+    first candidates are a spanning forest of its near pairs; every fingerprint stands in many groups.
+    Where verification breaks a component of candidates, its other pairs are compared too.
     Texts without words are alike; a null doc_id stands alone among its exact copies.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -276,24 +331,28 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     base = materialise(own.mapInPandas(run, "doc_id long, c1 long, c2 long, fps array<long>"), "base")
     reps = materialise(base.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps")), "reps")
-    each = reps.where("rep is not null").select("rep", F.posexplode("fps").alias("seed", "fp"))
-    first = materialise(each.groupBy("seed", "fp").agg(F.min("rep").alias("first")), "first")
     # Wider groups than for one fingerprint: fewer rows are dealt, and crowded groups are sliced anyway.
     bits = leading_bits(reps.count() // 4)
     near = F.array(*[F.lit(int(m)).cast("long") for m in masks(bits, RADIUS // 2)])
-    dealt = first.select("seed", "fp", F.explode(F.transform(near, lambda m: F.shiftrightunsigned("fp", 64 - bits).bitwiseXOR(m))).alias("group"))
 
     def pairs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = near_links(pdf["fp"].to_numpy().view(np.uint64), int(key[1]), bits)
         return pd.DataFrame({"seed": int(key[0]), "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    met = dealt.groupBy("seed", "group").applyInPandas(pairs, "seed int, a long, b long").distinct()
-    side = lambda k: first.select("seed", F.col("fp").alias(k), F.col("first").alias(f"doc_{k}"))
-    cross = met.join(side("a"), ["seed", "a"]).join(side("b"), ["seed", "b"]).select("doc_a", "doc_b")
-    same = each.join(first, ["seed", "fp"]).where("rep <> first").select(F.col("first").alias("doc_a"), F.col("rep").alias("doc_b"))
-    found = cross.unionAll(same).select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).where("a <> b").distinct()
-    found = materialise(found, "pairs")
-    release(docs.sparkSession)
+    met = []
+    for at in range(0, seeds, SEEDS_AT_ONCE):
+        each = reps.where("rep is not null").select("rep", F.posexplode("fps").alias("seed", "fp")).where(F.col("seed").between(at, at + SEEDS_AT_ONCE - 1))
+        first = materialise(each.groupBy("seed", "fp").agg(F.min("rep").alias("first")), "first")
+        dealt = first.select("seed", "fp", F.explode(F.transform(near, lambda m: F.shiftrightunsigned("fp", 64 - bits).bitwiseXOR(m))).alias("group"))
+        linked = dealt.groupBy("seed", "group").applyInPandas(pairs, "seed int, a long, b long").distinct()
+        side = lambda k: first.select("seed", F.col("fp").alias(k), F.col("first").alias(f"doc_{k}"))  # noqa: B023, E731
+        cross = linked.join(side("a"), ["seed", "a"]).join(side("b"), ["seed", "b"]).select("doc_a", "doc_b")
+        same = each.join(first, ["seed", "fp"]).where("rep <> first").select(F.col("first").alias("doc_a"), F.col("rep").alias("doc_b"))
+        met.append(materialise(cross.unionAll(same).select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).where("a <> b"), "met"))
+        discard(first)
+        release(docs.sparkSession)
+    found = materialise(functools.reduce(DataFrame.unionAll, met).distinct(), "pairs")
+    discard(*met)
     ids = found.select(F.col("a").alias("doc_id")).unionAll(found.select("b")).distinct()
     wanted = materialise(reps.select("c1", "c2", F.col("rep").alias("doc_id")).join(ids, "doc_id", "left_semi"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
@@ -316,8 +375,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         return pd.Series(out)
 
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-    links_ = found.join(left, "a").join(right, "b").where(alike("sa", "sb")).select("a", "b")
-    groups = components(links_)
+    links_ = materialise(found.join(left, "a").join(right, "b").where(alike("sa", "sb")).select("a", "b"), "links")
+    groups = components(further_links(links_, found, sets, alike, similarity))
     release(docs.sparkSession)
     of_rep = reps.join(groups, reps.rep == groups.node, "left").select("c1", "c2", F.coalesce("root", "rep").alias("component_id"))
     return base.select("doc_id", "c1", "c2").join(of_rep, ["c1", "c2"]).select("doc_id", "component_id")

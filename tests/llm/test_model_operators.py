@@ -92,6 +92,22 @@ def test_similar_documents(make_docs):
     assert simhash_ball.similar_documents(make_docs([])).count() == 0
 
 
+def test_near_families(make_docs):
+    """Edits that are alike to their base only: each that meets it must be linked, whichever pairs are tried first."""
+    rng, rows = np.random.default_rng(8), []
+    for f in range(6):
+        base = [f"w{int(k)}" for k in rng.integers(0, 10**6, 300)]
+        for e in range(16):
+            v = list(base)
+            for k in range(5 if e < 15 else 0):
+                v[10 + 57 * k + int(rng.integers(0, 50))] = f"edit{e}x{k}"
+            rows.append((100 * f + e, " ".join(v)))
+    got = {r.doc_id: r.component_id for r in simhash_ball.similar_documents(make_docs(rows, clash=False)).collect()}
+    fps = {k: np.array(simhash_ball.several(t, 2, simhash_ball.SEEDS), np.int64) for k, t in rows}
+    meets = {k for k in fps if np.bitwise_count(fps[k] ^ fps[k // 100 * 100 + 15]).min() <= 4}
+    assert len(meets) >= 60 and all(got[k] == got[k // 100 * 100 + 15] for k in meets)
+
+
 def test_forest():
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 60, 80), rng.integers(0, 60, 80)
