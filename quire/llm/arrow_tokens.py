@@ -10,24 +10,27 @@ renamed, and a repeated task writes the same file again, so lost executors do no
 harm.
 
 Defined results: null text is empty (its only id is the end id); null doc_ids come
-first; rows that share a doc_id follow each other by text; an empty table
+first; rows that share a doc_id follow each other by a hash of their text; an empty table
 gives no files and an empty result; other columns are not read. Special-token
 strings in a text follow the tokenizer's default unless ``ordinary_specials``.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import os
 import re
+import string
 import sys
 import types
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +40,48 @@ from quire.llm.common import materialise, release, scratch_path
 
 SEQUENCE = 2048
 BATCH_SEQUENCES = 256
-#: Words whose ids a Python worker remembers; as many older ones are kept besides.
-CACHE_WORDS = 400_000
+#: Bytes of text that are cut into words at a time, and that one file is made of at most on average.
+BLOCK_BYTES = 6 << 20
+FILE_BYTES = 256 << 20
+#: Pieces whose ids a Python worker remembers; as many older ones are kept besides.
+CACHE_WORDS = 300_000
 _CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" \s")
+SIGNS = string.punctuation
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: itself where it is printable, else the next one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
+class Pieces:
+    """Ids of pieces of text, one after the other in one array."""
+
+    def __init__(self, dtype: np.dtype):
+        self.slot: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, dtype)
+        self.start = np.zeros(1 << 16, np.int64)
+
+    def add(self, pieces: list[str], ids: list[int], sizes: list[int]) -> None:
+        """New pieces, with all their ids and the number of each one's."""
+        k, to = len(self.slot), len(self.slot) + len(pieces)
+        self.slot.update(zip(pieces, range(k, to), strict=True))
+        while to + 1 > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        self.start[k + 1 : to + 1] = self.start[k] + np.cumsum(sizes)
+        while self.start[to] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.start[k] : self.start[to]] = ids
+
+
+def _gather(start: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all members of the lists ``at``, where list k is from ``start[k]`` to ``start[k + 1]``; and the members before each."""
+    n = start[at + 1] - start[at]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    kind = np.int32 if max(upto[-1], start[-1]) < 1 << 31 else np.int64
+    return np.arange(upto[-1], dtype=kind) + np.repeat((start[at] - upto[:-1]).astype(kind), n), upto
 
 
 class Encoder:
@@ -48,7 +89,8 @@ class Encoder:
 
     Byte-level BPE splits words before it merges, and a space in front of a
     non-space always begins a new word; so a text can be cut there and each
-    piece encoded once. Texts with added tokens are encoded whole.
+    piece encoded once. Texts with added tokens, and all texts where the tokenizer is of
+    another kind, are encoded whole.
     """
 
     def __init__(self, path: str, ordinary_specials: bool = False):
@@ -59,61 +101,124 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.uint16 if self.size <= 1 << 16 else np.uint32
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _parts(self, piece: str) -> list[str] | None:
-        """Smaller pieces that the piece is made of: at single newlines between words, and at a sign after a letter. None if there are none."""
+        rule = json.loads(self.tokenizer.to_str())
+        kind = rule["pre_tokenizer"] or {}
+        self.cuts = rule["normalizer"] is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space")
+        self.letters = _byte_letters()
+        self.now, self.old = Pieces(self.dtype), Pieces(self.dtype)
+
+    def _parts(self, piece: str) -> list[str]:
+        """Smaller pieces that the piece is made of, cut at single newlines between words and where a letter meets the signs at the end; itself if there are none."""
         if "\n" in piece:
             lines = piece.split("\n")
-            if all(x and not x[-1].isspace() and (not k or not x[0].isspace()) for k, x in enumerate(lines)):
-                return [x for line in lines for x in (line, "\n")][:-1]
-        elif len(piece) > 2 and piece[-1] in ",.;:!?" and piece[-2].isalpha():
-            return [piece[:-1], piece[-1]]
-        return None
+            if not any(a in piece for a in self.added) and all(x and not x[-1].isspace() and (not k or not x[0].isspace()) for k, x in enumerate(lines)):
+                out = []
+                for k, line in enumerate(lines):
+                    out += ["\n", *self._parts(line)] if k else self._parts(line)
+                return out
+        else:
+            word = piece.rstrip(SIGNS)
+            if word[-1:].isalpha() and len(word) < len(piece) and not any(a in piece for a in self.added):
+                return [word, piece[len(word) :]]
+        return [piece]
+
+    def _word(self, piece: str) -> str | None:
+        """The piece as the vocabulary writes it, if it is one word of Latin letters with at most a space before; else None."""
+        body = piece[1:] if piece[:1] == " " else piece
+        if not body.isalpha():
+            return None
+        if not body.isascii():
+            if max(body) >= "\u0250":
+                return None
+            body = body.encode().decode("latin-1").translate(self.letters)
+        return self.letters[32] + body if piece[0] == " " else body
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of new pieces: from the older words, from their parts, or from the tokenizer."""
-        old, plain, made = self.old, [], []
+        """Remember the ids of new pieces, from the older ones or from the tokenizer."""
+        old, model, plain = self.old, self.tokenizer.model, []
+        done, ids, sizes = [], [], []
         for p in pieces:
-            if p in old:
-                self.cache[p] = old[p]
-                continue
-            parts = self._parts(p)
-            if parts is None:
-                plain.append(p)
+            if p in old.slot:
+                k = old.slot[p]
+                own = old.ids[old.start[k] : old.start[k + 1]].tolist()
+            elif (word := self._word(p)) is not None:
+                own = [t.id for t in model.tokenize(word)]
             else:
-                made.append((p, parts))
-        if made:
-            new = {x for _, parts in made for x in parts}.difference(self.cache, plain)
-            self._learn(sorted(new))
-        code = "H" if self.dtype == np.uint16 else "I"
+                plain.append(p)
+                continue
+            done.append(p)
+            ids += own
+            sizes.append(len(own))
         for at in range(0, len(plain), 20_000):
             some = plain[at : at + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.cache[p] = array(code, e.ids).tobytes()
-        for p, parts in made:
-            self.cache[p] = b"".join([self.cache[x] for x in parts])
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes."""
-        if len(self.cache) > CACHE_WORDS:
-            self.old, self.cache = self.cache, {}
-        cut: list[list[str] | None] = []
-        for t in texts:
-            if any(a in t for a in self.added):
-                cut.append(None)
+            for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                own = e.ids
+                ids += own
+                sizes.append(len(own))
+        self.now.add(done + plain, ids, sizes)
+
+    def _slots(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(places, slots): the parts of piece k have the slots from ``places[k]`` to ``places[k + 1]``."""
+        slot, parts, new = self.now.slot, [], {}
+        sizes = np.ones(len(pieces), np.int64)
+        for k, p in enumerate(pieces):
+            if p in slot:
+                parts.append(p)
                 continue
-            pieces = _CUT.split(t) if t.endswith(" ") or _ODD.search(t) else t.split(" ")
-            cut.append([pieces[0], *(" " + p for p in pieces[1:])])
-        new = set()
-        for c in cut:
-            if c:
-                new.update(c)
-        self._learn(sorted(new.difference(self.cache)))
-        get = self.cache.__getitem__
-        whole = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.dtype).tobytes() if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
-        return whole
+            some = self._parts(p)
+            parts += some
+            sizes[k] = len(some)
+            for x in some:
+                if x not in slot:
+                    new[x] = None
+        if new:
+            self._learn(list(new))
+        return np.concatenate([[0], np.cumsum(sizes)]), np.fromiter(map(slot.__getitem__, parts), np.int64, len(parts))
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in got for i in ids], self.dtype), np.array([len(ids) for ids in got], np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts (an array of strings without nulls), one after the other, and their number for each text."""
+        if not self.cuts:
+            return self._whole(texts.to_pylist())
+        if len(self.now.slot) > CACHE_WORDS:
+            self.old, self.now = self.now, Pieces(self.dtype)
+        split = pc.split_pattern(texts, " ")
+        coded = pc.dictionary_encode(split.flatten())
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64))
+        first = np.concatenate([[0], ends[:-1]])
+        # All but the first word of a text stand after a space, which belongs to them unless white space follows.
+        odd = np.fromiter((not w or w[0].isspace() for w in words), bool, len(words))[codes]
+        odd[first] = False
+        special = np.zeros(len(texts), bool)
+        for a in self.added:
+            special |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        apart = np.unique(np.concatenate([np.searchsorted(ends, np.flatnonzero(odd), "right"), np.flatnonzero(special)]))
+        # Pieces: the words after a space, the first ones, and those of the texts that are cut another way.
+        pieces = [" " + w for w in words]
+        codes = codes.astype(np.int64)
+        codes_of_first = len(pieces) + np.arange(len(texts))
+        pieces += [words[c] for c in codes[first]]
+        codes[first] = codes_of_first
+        sizes = ends - first
+        if len(apart):
+            runs, last = [], 0
+            for k in apart.tolist():
+                text = texts[k].as_py()
+                own = [text] if special[k] else [p if not j else " " + p for j, p in enumerate(_CUT.split(text))]
+                runs += [codes[last : first[k]], len(pieces) + np.arange(len(own))]
+                pieces += own
+                last, sizes[k] = ends[k], len(own)
+            codes = np.concatenate([*runs, codes[last:]])
+            ends = np.cumsum(sizes)
+        places, slots = self._slots(pieces)
+        part, before = _gather(places, codes)
+        place, upto = _gather(self.now.start, slots[part])
+        upto = upto[before]
+        return self.now.ids[place], upto[ends] - upto[ends - sizes]
 
 
 def encoder(path: str, ordinary_specials: bool) -> Encoder:
@@ -126,11 +231,14 @@ def encoder(path: str, ordinary_specials: bool) -> Encoder:
 
 
 def _store(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    if "://" in uri or uri.startswith("file:"):
-        fs, path = pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
-    else:
-        fs, path = pa.fs.LocalFileSystem(), uri
-    return fs, path
+    """File system and path of a URI as Hadoop writes it."""
+    return pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI, by the file system that Spark takes it for; driver and executors then open the same place."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
 def _open(uri: str):
@@ -152,14 +260,14 @@ class SequenceWriter:
         self.writer = pa.ipc.new_file(self.sink, self.schema)
         self.open, self.size = [], 0
 
-    def add(self, ids: bytes) -> None:
+    def add(self, ids: np.ndarray) -> None:
         self.open.append(ids)
-        self.size += len(ids) // np.dtype(self.dtype).itemsize
+        self.size += len(ids)
         if self.size >= self.length * BATCH_SEQUENCES:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.open), self.dtype)
+        ids = np.concatenate([np.zeros(0, self.dtype), *self.open])
         n = -(-len(ids) // self.length) if last else len(ids) // self.length
         use = min(len(ids), n * self.length)
         for at in range(0, n, BATCH_SEQUENCES):
@@ -170,7 +278,7 @@ class SequenceWriter:
             mask = np.arange(rows * self.length) < len(some)
             cols = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (full, mask)]
             self.writer.write_batch(pa.record_batch(cols, schema=self.schema))
-        self.open, self.size = [ids[use:].tobytes()], len(ids) - use
+        self.open, self.size = [ids[use:].copy()], len(ids) - use
 
     def close(self) -> None:
         self._flush(True)
@@ -217,38 +325,49 @@ class SequenceFile:
             yield ids[:n]
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in order, about BLOCK_BYTES of text at a time."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, length: int = SEQUENCE, ordinary_specials: bool = False, parts: int | None = None) -> DataFrame:
-    """Write the files under ``out``; returns the manifest: part, n_docs, n_tokens, in file order."""
+    """Write the files under ``out``; returns the manifest: part, n_docs, n_tokens, in file order.
+
+    The number of files follows the bytes of text, and is ``spark.sql.shuffle.partitions`` at least.
+    """
     spark = docs.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = qualified(spark, out)
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    dealt = own.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / FILE_BYTES))
+    # Rows that share a doc_id, null ones too, are dealt by their texts' hashes.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    dealt = own.withColumn("h", F.xxhash64("text")).repartitionByRange(n, *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
 
-    def encode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         part, writer, docs, total = TaskContext.get().partitionId(), None, [], 0
-        end = None
-        for pdf in it:
-            for at in range(0, len(pdf), 500):
-                some = pdf.iloc[at : at + 500]
-                if writer is None:
-                    own = encoder(tokenizer, ordinary_specials)
-                    end = np.array([end_id], own.dtype).tobytes()
-                    writer = SequenceWriter(f"{out}/part-{part:06d}.arrow", length, own.dtype, end_id)
-                sizes = []
-                for ids in own(some["text"].tolist()):
-                    writer.add(ids + end)
-                    sizes.append(len(ids) // len(end) + 1)
-                starts = total + np.cumsum([0, *sizes])
-                docs.append(pa.table({"doc_id": pa.array(some["doc_id"], from_pandas=True).cast(pa.int64()), "start": starts[:-1].astype(np.int64), "n_tokens": np.array(sizes, np.int64)}))
-                total = int(starts[-1])
+        for block in _blocks(it):
+            if writer is None:
+                own = encoder(tokenizer, ordinary_specials)
+                writer = SequenceWriter(f"{out}/part-{part:06d}.arrow", length, own.dtype, end_id)
+            ids, sizes = own(block.column("text"))
+            writer.add(np.insert(ids, np.cumsum(sizes), end_id))
+            starts = total + np.concatenate([[0], np.cumsum(sizes + 1)])
+            docs.append(pa.table({"doc_id": block.column("doc_id").cast(pa.int64()), "start": starts[:-1], "n_tokens": sizes + 1}))
+            total = int(starts[-1])
         if writer is not None:
             writer.close()
             table = pa.concat_tables(docs)
             _write_table(f"{out}/part-{part:06d}.docs.arrow", table)
-            yield pd.DataFrame({"part": [part], "n_docs": [table.num_rows], "n_tokens": [total]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [table.num_rows], "n_tokens": [total]})
 
-    return materialise(dealt.mapInPandas(encode, "part long, n_docs long, n_tokens long"), "manifest")
+    return materialise(dealt.mapInArrow(encode, "part long, n_docs long, n_tokens long"), "manifest")
 
 
 def read_tokens(spark: SparkSession, out: str, manifest: DataFrame) -> DataFrame:
@@ -256,7 +375,7 @@ def read_tokens(spark: SparkSession, out: str, manifest: DataFrame) -> DataFrame
 
     The manifest has one row for each file; that is all the driver sees.
     """
-    rows, before = [], 0
+    out, rows, before = qualified(spark, out), [], 0
     for r in sorted(manifest.collect()):
         rows.append((r.part, before))
         before += r.n_tokens
