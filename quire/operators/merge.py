@@ -39,8 +39,9 @@ def replace_children(stored: DataFrame, batch_children: DataFrame, touched: Data
 
 def split_formulas(options: DataFrame, formulas: DataFrame, keys: list[str], box: str = "bbox") -> DataFrame:
     """Formulas of options, tied to their label, and those of the question whose box no option has."""
-    tied = options.select(*keys, "label", "latex", box)
-    loose = formulas.join(tied, [*keys, box], "left_anti").select(*keys, F.lit(None).cast("string").alias("label"), "latex", box)
+    order = ["ord"] if "ord" in options.columns and "ord" in formulas.columns else []
+    tied = options.select(*keys, *order, "label", "latex", box)
+    loose = formulas.join(tied.select(*keys, box), [*keys, box], "left_anti").select(*keys, *order, F.lit(None).cast("string").alias("label"), "latex", box)
     return tied.unionByName(loose)
 
 

@@ -1,8 +1,10 @@
 """The bank: normalised tables of papers, questions and their parts, with retrieval.
 
 Tables are keyed by (paper_code, question); ``paper_id`` keeps the order of loading, by which
-results are sorted. A stored bank is a folder of Parquet tables; saving writes a new snapshot
-folder and then the name of the current one, so readers never see half a load.
+results are sorted, and the parts of a question keep their place in ``ord``. A stored bank is a
+folder of Parquet tables; saving writes a new snapshot folder and then, under a name never used
+before, a numbered pointer to it. The pointer with the highest number counts, so readers never see
+half a load and never find no bank where there was one.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ SCHEMAS = {
     "papers": "paper_code string, paper_id bigint",
     "questions": "paper_code string, paper_id bigint, question bigint, page bigint, text string, marks bigint",
     "question_topics": "paper_code string, question bigint, topic string, rank int",
-    "images": "paper_code string, question bigint, file string, bbox struct<x0:double,y0:double,x1:double,y1:double>",
-    "question_images": "paper_code string, question bigint, page bigint, file string, bbox struct<x0:double,y0:double,x1:double,y1:double>",
-    "formulas": "paper_code string, question bigint, label string, latex string, bbox struct<x0:double,y0:double,x1:double,y1:double>",
-    "tables": "paper_code string, question bigint, headers array<string>, rows array<array<string>>, bbox struct<x0:double,y0:double,x1:double,y1:double>",
-    "options": "paper_code string, question bigint, label string, text string",
+    "images": "paper_code string, question bigint, ord int, file string, bbox struct<x0:double,y0:double,x1:double,y1:double>",
+    "question_images": "paper_code string, question bigint, ord int, page bigint, file string, bbox struct<x0:double,y0:double,x1:double,y1:double>",
+    "formulas": "paper_code string, question bigint, ord int, label string, latex string, bbox struct<x0:double,y0:double,x1:double,y1:double>",
+    "tables": "paper_code string, question bigint, ord int, headers array<string>, rows array<array<string>>, bbox struct<x0:double,y0:double,x1:double,y1:double>",
+    "options": "paper_code string, question bigint, ord int, label string, text string",
 }
 CHILDREN = ("images", "question_images", "formulas", "tables", "options", "question_topics")
 
@@ -33,6 +35,10 @@ class BankMissingError(FileNotFoundError):
     """There is no bank at the path."""
 
 
+class BankChangedError(RuntimeError):
+    """Another writer has saved the bank in the meantime."""
+
+
 class Bank:
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
         self.spark, self.t = spark, tables
@@ -58,15 +64,39 @@ class Bank:
         name = f"snapshot-{uuid.uuid4().hex}"
         for table, df in self.t.items():
             df.write.parquet(f"{path}/{name}/{table}")
-        self.spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
+        known = self._pointers(self.spark, path)
+        number = int(known[-1].rsplit("-", 1)[1]) + 1 if known else 0
+        fs, where = self._folder(self.spark, path)
+        make = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        # Two writers of one number: the second one's rename fails, and it must load and try again.
+        temp = make(f"{path}/.{name}")
+        out = fs.create(temp, False)
+        out.write(bytearray(name.encode()))
+        out.close()
+        if fs.exists(make(f"{path}/current-{number:012d}")) or not fs.rename(temp, make(f"{path}/current-{number:012d}")):
+            raise BankChangedError(f"another writer has changed the bank at {path}")
         return name
 
+    @staticmethod
+    def _folder(spark: SparkSession, path: str):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+    @classmethod
+    def _pointers(cls, spark: SparkSession, path: str) -> list[str]:
+        """Paths of the numbered pointers, the current one last; none if there is no bank."""
+        fs, where = cls._folder(spark, path)
+        if not fs.exists(where):
+            return []
+        return sorted(str(f.getPath()) for f in fs.listStatus(where) if f.getPath().getName().startswith("current-"))
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Bank:
-        try:
-            name = spark.read.text(f"{path}/current").first()[0]
-        except Exception as e:
-            raise BankMissingError(f"no bank at {path}") from e
+        """The current snapshot. Only where there is none is it missing; a store that cannot be read raises its own error."""
+        known = cls._pointers(spark, path)
+        if not known:
+            raise BankMissingError(f"no bank at {path}")
+        name = spark.read.text(known[-1], wholetext=True).first()[0]
         return cls(spark, {t: spark.read.schema(ddl).parquet(f"{path}/{name}/{t}") for t, ddl in SCHEMAS.items()})
 
     def check(self) -> None:
@@ -80,26 +110,27 @@ class Bank:
         """Load classified questions (paper, question, page, marks, text and lists of parts).
 
         A question that is there is replaced with all its parts; others stay. Of a key that the batch
-        has twice, the row with the higher ``load_seq`` counts, if there is such a column.
+        has twice, the row with the higher ``load_seq`` counts, if there is such a column; of equal ones
+        the one whose content comes last as JSON, so that all tables take the same row at every run.
         """
         own = built.withColumnRenamed("paper", "paper_code")
         if "load_seq" not in own.columns:
             own = own.withColumn("load_seq", F.lit(0))
-        own = merge.latest(own, KEY)
+        own = merge.latest(own.withColumn("_content", F.to_json(F.struct(*own.columns))), KEY, tie=["_content"]).drop("_content")
         papers = merge.with_ids(self.t["papers"].select("paper_id", "paper_code"), own.select("paper_code"), "paper_id", "paper_code").select("paper_code", "paper_id")
         rows = own.join(papers, "paper_code")
         new = {"questions": rows.select("paper_code", "paper_id", "question", "page", "text", "marks")}
         for name, col in (("images", "images"), ("question_images", "question_images"), ("tables", "tables")):
             if col in own.columns:
-                new[name] = own.select(*KEY, F.inline(col))
+                new[name] = own.select(*KEY, F.posexplode(col).alias("ord", "e")).select(*KEY, "ord", "e.*")
         if "options" in own.columns:
-            opts = own.select(*KEY, F.explode("options").alias("o"))
-            new["options"] = opts.select(*KEY, "o.label", "o.text")
+            opts = own.select(*KEY, F.posexplode("options").alias("ord", "o"))
+            new["options"] = opts.select(*KEY, "ord", "o.label", "o.text")
         if "formulas" in own.columns:
-            loose = own.select(*KEY, F.inline("formulas"))
+            loose = own.select(*KEY, F.posexplode("formulas").alias("ord", "f")).select(*KEY, "ord", "f.*")
             tied = None
             if "options" in own.columns and "formulas" in own.schema["options"].dataType.elementType.names:
-                tied = opts.select(*KEY, "o.label", F.explode("o.formulas").alias("f")).select(*KEY, "label", "f.*")
+                tied = opts.select(*KEY, "o.label", F.posexplode("o.formulas").alias("ord", "f")).select(*KEY, "ord", "label", "f.*")
             if tied is None:
                 tied = loose.limit(0).withColumn("label", F.lit(None).cast("string"))
             new["formulas"] = merge.split_formulas(tied, loose, KEY)
@@ -122,18 +153,15 @@ class Bank:
         out = questions.select(F.col("paper_code").alias("paper"), "paper_id", "question", "page", "marks", "text")
         keys = ["paper", "question"]
 
-        def child(name: str, entry, order: str | None = None) -> DataFrame:
+        def child(name: str, entry, order: list[str]) -> DataFrame:
             part = self.t[name].withColumnRenamed("paper_code", "paper").join(questions.select(F.col("paper_code").alias("paper"), "question"), keys, "left_semi")
-            if order:
-                lists = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), entry.alias("_e")))), lambda s: s["_e"])
-            else:
-                lists = F.array_sort(F.collect_list(entry))
+            lists = F.transform(F.array_sort(F.collect_list(F.struct(*order, entry.alias("_e")))), lambda s: s["_e"])
             return part.groupBy(*keys).agg(lists.alias(name))
 
         c = F.col
         for name, entry, order in (
-            ("images", F.struct("file", "bbox"), None), ("question_images", F.struct("page", "file", "bbox"), None), ("tables", F.struct("headers", "rows", "bbox"), None),
-            ("formulas", F.struct("latex", "bbox"), None), ("options", F.struct("label", "text"), None), ("question_topics", c("topic"), "rank"),
+            ("images", F.struct("file", "bbox"), ["ord"]), ("question_images", F.struct("page", "file", "bbox"), ["ord"]), ("tables", F.struct("headers", "rows", "bbox"), ["ord"]),
+            ("formulas", F.struct("latex", "bbox"), ["label", "ord"]), ("options", F.struct("label", "text"), ["ord", "label"]), ("question_topics", c("topic"), ["rank"]),
         ):
             lists = child(name, entry, order)
             out = out.join(lists, keys, "left").withColumn(name, F.coalesce(name, F.array().cast(lists.schema[name].dataType)))
@@ -203,11 +231,12 @@ class Bank:
         """Question objects as they were loaded: option formulas under their options, the rest under the question."""
         base = self.hydrate(self.t["questions"])
         keys = ["paper", "question"]
+        in_order = lambda *entry: F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct(*entry).alias("_e")))), lambda s: s["_e"])
         f = self.t["formulas"].withColumnRenamed("paper_code", "paper")
-        loose = f.where("label is null").groupBy(*keys).agg(F.collect_list(F.struct("latex", "bbox")).alias("formulas"))
-        tied = f.where("label is not null").groupBy(*keys, "label").agg(F.collect_list(F.struct("latex", "bbox")).alias("formulas"))
+        loose = f.where("label is null").groupBy(*keys).agg(in_order("latex", "bbox").alias("formulas"))
+        tied = f.where("label is not null").groupBy(*keys, "label").agg(in_order("latex", "bbox").alias("formulas"))
         opts = self.t["options"].withColumnRenamed("paper_code", "paper").join(tied, [*keys, "label"], "left")
         kind = loose.schema["formulas"].dataType
-        opts = opts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("label", "text", F.coalesce("formulas", F.array().cast(kind)).alias("formulas")))).alias("options"))
+        opts = opts.groupBy(*keys).agg(in_order("label", "text", F.coalesce("formulas", F.array().cast(kind)).alias("formulas")).alias("options"))
         out = base.drop("formulas", "options").join(loose, keys, "left").join(opts, keys, "left")
         return out.withColumns({"formulas": F.coalesce("formulas", F.array().cast(kind)), "options": F.coalesce("options", F.array().cast(opts.schema["options"].dataType))}).orderBy(*keys)

@@ -377,9 +377,9 @@ def _head(df):
     return df.select("paper", "question", "marks", F.array_join("topics", ",").alias("topics"))
 
 
-@query(f"WITH {QT} SELECT {HEAD} FROM (SELECT * FROM qt WHERE topic = 'Endings' ORDER BY paper_id, question LIMIT 25) q LEFT JOIN tl USING (doc_id)", "v_questions", "v_lexicon")
+@query(f"WITH {QT} SELECT {HEAD} FROM (SELECT * FROM qt WHERE topic = 'Plurals' ORDER BY paper_id, question LIMIT 25) q LEFT JOIN tl USING (doc_id)", "v_questions", "v_lexicon")
 def by_topic(spark, d):
-    return _head(store(spark, d).by_topic("eNDINGS", 25))
+    return _head(store(spark, d).by_topic("pLURALS", 25))
 
 
 @query(f"WITH {QT} SELECT {HEAD} FROM v_questions q LEFT JOIN tl USING (doc_id) WHERE marks BETWEEN 3 AND 5", "v_questions", "v_lexicon")
@@ -398,9 +398,14 @@ def filtered_set(spark, d):
     return _head(store(spark, d).filtered(subject="9701", topic="Plurals", min_marks=2, max_marks=7))
 
 
-@query(None)
+@query("SELECT least(10, count(*)) AS picked, least(10, count(*)) AS different, least(10, count(*)) AS stored FROM v_questions WHERE marks >= 2", "v_questions")
 def random_pick(spark, d):
-    return _head(store(spark, d).random(min_marks=2, count=10, seed=7))
+    """The pick itself is random; its rows are counted, and those among them that pass the filter."""
+    picked = store(spark, d).random(min_marks=2, count=10, seed=7).select("paper", "question")
+    right = V.v_questions(spark, d).where("marks >= 2").select(c("paper_code").alias("paper"), "question")
+    n = lambda name, df: df.agg(F.count("*").alias(name)).withColumn("_one", F.lit(1))
+    counts = n("picked", picked).join(n("different", picked.distinct()), "_one").join(n("stored", picked.join(right, ["paper", "question"], "left_semi")), "_one")
+    return counts.drop("_one")
 
 
 @query(f"WITH {QT} SELECT {HEAD} FROM (SELECT * FROM v_questions ORDER BY paper_id, question LIMIT 30) q LEFT JOIN tl USING (doc_id)", "v_questions", "v_lexicon")

@@ -28,18 +28,15 @@ CTE = {
        (l_partkey*7)%500 AS x0, (l_suppkey*37+l_linenumber*11+l_partkey*13)%760 AS y0,
        5+l_quantity::INT AS w, 8+l_linenumber AS h, l_linenumber AS num, l_partkey AS pk
   FROM lineitem)""",
-    "v_regions": """SELECT o_orderkey//100 AS paper, (o_orderkey%100)//10+1 AS page, i AS region_ord,
-       (o_custkey*(i+1)*31)%300 AS x0, (i*97+o_custkey*7)%600 AS y0,
-       (o_custkey*(i+1)*31)%300+120+(o_custkey*(i+3))%140 AS x1,
-       (i*97+o_custkey*7)%600+90+((o_custkey+i)*17)%90 AS y1
-FROM orders, range(8) r(i) WHERE o_orderkey%10=0""",
+    "v_regions": """SELECT paper, page, i AS region_ord, (c*(i+1)*31)%300 AS x0, (i*97+c*7)%600 AS y0, (c*(i+1)*31)%300+120+(c*(i+3))%140 AS x1, (i*97+c*7)%600+90+((c+i)*17)%90 AS y1
+FROM (SELECT o_orderkey//100 AS paper, (o_orderkey%100)//10+1 AS page, o_orderkey%10 AS i, o_custkey AS c FROM orders)""",
     "v_markers": """SELECT paper, page, ord, y0, CASE WHEN pk%5=0 THEN 300 ELSE 40+(pk%4)*80 END AS x0,
        CASE WHEN pk%5=0 THEN page ELSE (page-1)*3+num END AS num
-FROM v_spans WHERE pk%3=0""",
+FROM v_spans""",
     "v_papers": f"""SELECT paper_code, row_number() OVER (ORDER BY paper_code) AS paper_id FROM (
   SELECT DISTINCT concat({SUBJECT}, '/', (1+o_orderkey%6)*10+1+o_orderkey%3, '/', {SESSION}, '/', right(year(o_orderdate)::VARCHAR, 2)) AS paper_code FROM orders)""",
-    "v_questions": """SELECT q.doc_id, p.paper_code, p.paper_id, q.doc_id%40+1 AS question, q.doc_id%12+1 AS page, q.text, 1+q.n_chars%8 AS marks
-FROM documents q JOIN v_papers p ON p.paper_id = q.doc_id//40+1""",
+    "v_questions": """SELECT q.doc_id, p.paper_code, p.paper_id, q.doc_id//40//k.n*40+q.doc_id%40+1 AS question, q.doc_id%12+1 AS page, q.text, 1+q.n_chars%8 AS marks
+FROM documents q, (SELECT count(*) AS n FROM v_papers) k JOIN v_papers p ON p.paper_id = q.doc_id//40%k.n+1""",
     "v_lexicon": "SELECT * FROM (VALUES " + ", ".join(str(r) for r in LEX) + ") t(subject, topic, keyword, lex_ord)",
     "v_stems": """SELECT CASE WHEN paper_id%7=0 THEN concat('notes_', paper_id) ELSE concat(split_part(paper_code,'/',1), '_',
        CASE split_part(paper_code,'/',3) WHEN 'M' THEN 's' WHEN 'O' THEN 'w' ELSE 'm' END, split_part(paper_code,'/',5), '_qp_',
@@ -78,15 +75,16 @@ def v_spans(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v_regions(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").where("o_orderkey % 10 = 0").selectExpr("*", "explode(sequence(0L, 7L)) AS i")
+    """One region for each order, ten to a page."""
+    o = read(spark, d, "orders").selectExpr("o_orderkey div 100 AS paper", "(o_orderkey % 100) div 10 + 1 AS page", "o_orderkey % 10 AS i", "o_custkey AS c")
     return o.selectExpr(
-        "o_orderkey div 100 AS paper", "(o_orderkey % 100) div 10 + 1 AS page", "i AS region_ord", "(o_custkey * (i + 1) * 31) % 300 AS x0", "(i * 97 + o_custkey * 7) % 600 AS y0",
-        "(o_custkey * (i + 1) * 31) % 300 + 120 + (o_custkey * (i + 3)) % 140 AS x1", "(i * 97 + o_custkey * 7) % 600 + 90 + ((o_custkey + i) * 17) % 90 AS y1",
+        "paper", "page", "i AS region_ord", "(c * (i + 1) * 31) % 300 AS x0", "(i * 97 + c * 7) % 600 AS y0",
+        "(c * (i + 1) * 31) % 300 + 120 + (c * (i + 3)) % 140 AS x1", "(i * 97 + c * 7) % 600 + 90 + ((c + i) * 17) % 90 AS y1",
     )
 
 
 def v_markers(spark: SparkSession, d: str) -> DataFrame:
-    return v_spans(spark, d).where("pk % 3 = 0").selectExpr(
+    return v_spans(spark, d).selectExpr(
         "paper", "page", "ord", "y0", "CASE WHEN pk % 5 = 0 THEN 300 ELSE 40 + (pk % 4) * 80 END AS x0", "CASE WHEN pk % 5 = 0 THEN page ELSE (page - 1) * 3 + num END AS num",
     )
 
@@ -100,8 +98,11 @@ def v_papers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v_questions(spark: SparkSession, d: str) -> DataFrame:
-    docs = read(spark, d, "documents").selectExpr("doc_id", "doc_id div 40 + 1 AS paper_id", "doc_id % 40 + 1 AS question", "doc_id % 12 + 1 AS page", "text", "1 + n_chars % 8 AS marks")
-    return docs.join(v_papers(spark, d), "paper_id").select("doc_id", "paper_code", "paper_id", "question", "page", "text", "marks")
+    """All documents, 40 at a time to one paper after the other, and round again with higher question numbers."""
+    papers = v_papers(spark, d)
+    n = papers.count()
+    docs = read(spark, d, "documents").selectExpr("doc_id", f"(doc_id div 40) % {n} + 1 AS paper_id", f"doc_id div 40 div {n} * 40 + doc_id % 40 + 1 AS question", "doc_id % 12 + 1 AS page", "text", "1 + n_chars % 8 AS marks")
+    return docs.join(papers, "paper_id").select("doc_id", "paper_code", "paper_id", "question", "page", "text", "marks")
 
 
 def v_stems(spark: SparkSession, d: str) -> DataFrame:

@@ -15,25 +15,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Labels of two detectors and the types they stand for; anything else is "other".
-TYPES = {
-    "title": "doc_title paragraph_title figure_title title",
-    "text": "text abstract content reference reference_content footnote aside_text algorithm plain_text",
-    "image": "image chart seal figure",
-    "caption": "figure_caption table_caption table_footnote formula_caption",
-    "formula": "formula formula_number isolate_formula",
+# The labels of two layout detectors and the types they stand for.
+DOCUMENT_LABELS = {
+    "doc_title": "title",
+    "paragraph_title": "title",
+    "figure_title": "title",
+    "text": "text",
+    "abstract": "text",
+    "content": "text",
+    "reference": "text",
+    "reference_content": "text",
+    "footnote": "text",
+    "aside_text": "text",
+    "algorithm": "text",
+    "image": "image",
+    "chart": "image",
+    "seal": "image",
+    "formula": "formula",
+    "formula_number": "formula",
     "table": "table",
     "header": "header",
     "footer": "footer",
+    "number": "other",
+}
+PAGE_LABELS = {
+    "title": "title",
+    "plain text": "text",
+    "figure": "image",
+    "figure_caption": "caption",
+    "table": "table",
+    "table_caption": "caption",
+    "table_footnote": "caption",
+    "isolate_formula": "formula",
+    "formula_caption": "caption",
+    "abandon": "other",
 }
 PROVIDERS = ("anthropic", "groq", "openrouter", "gemini")
 
 
-def canonical_type(label: Column) -> Column:
-    out = F.lit("other")
-    for kind, labels in TYPES.items():
-        out = F.when(F.replace(label, F.lit(" "), F.lit("_")).isin(*labels.split()), kind).otherwise(out)
-    return F.coalesce(out, F.lit("other"))
+def canonical_type(label: Column, *tables: dict[str, str]) -> Column:
+    """The type of a detector's label by its table (by both if none is given), "other" for a label that is not there."""
+    known = {k: v for t in tables or (DOCUMENT_LABELS, PAGE_LABELS) for k, v in t.items()}
+    kinds = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.coalesce(F.try_element_at(kinds, label), F.lit("other"))
 
 
 class Detector(Protocol):
@@ -96,6 +120,6 @@ def stub_tutor(kind: str, provider: str = "anthropic") -> Callable[[list], list]
     return lambda prompts: [{"v": f"{kind}: {len(p)} characters"} for p in prompts]
 
 
-def shape_buckets(crops: DataFrame, keys: list[str]) -> DataFrame:
-    """(height, width, items): crops of one shape together, so that a model's batches fill up."""
-    return crops.groupBy("height", "width").agg(F.array_sort(F.collect_list(F.struct(*keys))).alias("items"))
+def shape_buckets(crops: DataFrame) -> DataFrame:
+    """Crops of one shape next to each other, so that a model's batches fill up. A shape's rows may be many, so none is gathered into one."""
+    return crops.repartition("height", "width").sortWithinPartitions("height", "width")

@@ -11,7 +11,8 @@ from quire.sources.files import STAGES
 def ingest(spark: SparkSession, source: str, bank_path: str, checkpoint: str, available_now: bool = True):
     """Stream JSON-lines files of classified questions into the bank; returns the running query.
 
-    A batch that is run again replaces the same keys, so the bank comes out the same.
+    A batch that is run again replaces the same keys, so the bank comes out the same. Only where there
+    is no bank yet does a batch begin one; a bank that cannot be read stops the query.
     """
 
     def load(batch: DataFrame, _: int) -> None:

@@ -41,6 +41,40 @@ def test_formula_is_stored_once(spark):
     assert [x.latex for x in out.formulas] == ["y"] and [x.latex for x in out.options[0].formulas] == ["x"]
 
 
+def test_parts_keep_their_order(spark):
+    f = lambda x, k: {"latex": x, "bbox": {**BOX, "x1": float(k)}}
+    images = [{"file": x, "bbox": BOX} for x in ("z.png", "a.png", "m.png")]
+    opts = [{"label": x, "text": "", "formulas": [f("q", 7), f("p", 8)] if x == "B" else []} for x in "BA"]
+    bank = Bank.of(spark).upsert(built(spark, [{"paper": "p", "question": 1, "text": "t", "images": images, "formulas": [f("y", 3), f("x", 2)], "options": opts}]))
+    got, out = bank.all().first(), bank.export().first()
+    assert [x.file for x in got.images] == ["z.png", "a.png", "m.png"] and [x.latex for x in got.formulas] == ["y", "x", "q", "p"] and [x.label for x in got.options] == ["B", "A"]
+    assert [x.latex for x in out.formulas] == ["y", "x"] and [x.latex for x in out.options[0].formulas] == ["q", "p"]
+
+
+def test_equal_loads_take_one_row(spark):
+    rows = [{"paper": "p", "question": 1, "text": t, "topics": [t]} for t in "bca"]
+    got = Bank.of(spark).upsert(built(spark, rows)).all().first()
+    assert got.topics == [got.text] == ["c"]
+
+
+def test_unreadable_bank_is_not_missing(spark, tmp_path):
+    path = tmp_path / "b"
+    bank = Bank.of(spark).upsert(built(spark, [{"paper": "p", "question": 1, "text": "t"}]))
+    bank.save(str(path))
+    bank.save(str(path))
+    assert sorted(x.name for x in path.iterdir() if x.name.startswith("current-")) == ["current-000000000000", "current-000000000001"]
+    name = (path / "current-000000000001").read_text()
+    (path / name).rename(path / "gone")
+    with pytest.raises(Exception) as e:
+        Bank.load(spark, str(path)).counts().first()
+    assert not isinstance(e.value, BankMissingError)
+    write_stage(built(spark, [{"paper": "q", "question": 2, "text": "new"}]).coalesce(1), str(tmp_path / "in"))
+    with pytest.raises(Exception):
+        ingest(spark, str(tmp_path / "in"), str(path), str(tmp_path / "cp")).awaitTermination(60)
+    (path / "gone").rename(path / name)
+    assert Bank.load(spark, str(path)).counts().first().questions == 1
+
+
 def test_last_source_wins(spark):
     a = built(spark, [{"paper": "p", "question": 1, "text": "a"}])
     b = built(spark, [{"paper": "p", "question": 1, "text": "b"}, {"paper": "p", "question": 2, "text": "b2"}])
