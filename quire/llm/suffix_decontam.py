@@ -4,16 +4,19 @@ The documents of a task are cut into shards of bounded size. A shard's words
 become numbers (words that no benchmark item has are breaks, as no match can
 hold them), its suffixes are sorted, and every suffix of every benchmark item
 is binary-searched in the sorted order: the range of equal prefixes gives the
-places of a window of 13 words, the neighbours of the place where the suffix
-would stand give its longest verbatim match.
+places of a window of 13 words. Windows that follow each other in item and document alike
+make up one verbatim match, as long as it goes; the words that matches cover are hit.
+``longest_matches`` gives, for every benchmark suffix, its longest match in the whole corpus.
 
-The documents are not shuffled. The benchmark reaches the executors in blocks
-of at most ``block_words`` words; more than one block means more than one pass.
+The documents are not shuffled and read once. The benchmark reaches the executors in blocks
+of at most ``block_words`` words (one item, if it is longer); a worker goes through its shard
+once for each block and holds one block at a time, and the result does not depend on them.
 
 Defined results: null text has no words; an item without words has no window;
 an item of fewer than 13 words is one window; matches never cross documents;
-rows that share a doc_id are judged each by its own text; a null item_id is
-reported as the empty string; other columns of the input are not read.
+each row is judged by its own text and gives one row; a null item_id is
+reported as the empty string, and items that share an id count as one; other columns of
+the input are not read.
 """
 
 from __future__ import annotations
@@ -50,21 +53,30 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Benchmark:
-    """Items as numbered words; every suffix that begins a window or may match verbatim."""
+    """Items as numbered words in one array, a 0 after each, and their windows as places in it."""
 
     def __init__(self, items: list[tuple[object, str | None]]):
         self.vocab: dict[bytes, int] = {}
         self.ids: list[str] = []
-        self.seqs: list[np.ndarray] = []
+        seqs = []
         for item, text in items:
-            seq = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)]
+            seqs.append(np.array([*(self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text)), 0], np.int32))
             self.ids.append("" if item is None else str(item))
-            self.seqs.append(np.array(seq, np.int32))
-        rows = [(i, j, min(WINDOW, len(s))) for i, s in enumerate(self.seqs) for j in range(max(len(s) - WINDOW + 1, min(len(s), 1)))]
-        self.item, self.start, self.length = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-        self.windows = np.zeros((len(rows), WINDOW), np.int32)
-        for r, (i, j, n) in enumerate(rows):
-            self.windows[r, :n] = self.seqs[i][j : j + n]
+        self.flat = np.concatenate([np.zeros(0, np.int32), *seqs])
+        self.sizes = np.array([len(x) - 1 for x in seqs], np.int64)
+        self.offset = np.concatenate([[0], np.cumsum(self.sizes + 1)])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place, length) of every window."""
+        n = np.where(self.sizes > 0, np.maximum(self.sizes - WINDOW + 1, 1), 0)
+        item = np.repeat(np.arange(len(n)), n)
+        return item, np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n) + self.offset[item], np.minimum(self.sizes, WINDOW)[item]
+
+    def suffixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place, length) of every suffix."""
+        item = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        place = np.flatnonzero(self.flat)
+        return item, place, self.offset[item] + self.sizes[item] - place
 
     @classmethod
     def of(cls, state: dict) -> Benchmark:
@@ -74,6 +86,14 @@ class Benchmark:
         return out
 
 
+def _opened(sent: list) -> Iterator[Benchmark]:
+    """The blocks one after the other; of several, only one stays in the worker's memory."""
+    for b in sent:
+        yield Benchmark.of(b.value)
+        if len(sent) > 1:
+            b.__dict__.pop("_value", None)
+
+
 def suffix_array(seq: np.ndarray, top: int, depth: int) -> np.ndarray:
     """Starts of the suffixes that begin with a word, sorted by their first ``depth`` words.
 
@@ -109,23 +129,34 @@ def suffix_array(seq: np.ndarray, top: int, depth: int) -> np.ndarray:
     return sa
 
 
-def _compare(text: np.ndarray, at: np.ndarray, rows: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sign of (suffix at ``at``) minus (row) over the row's length, and how many words agree."""
-    width = rows.shape[1]
-    diff = text[at[:, None] + np.arange(width)] - rows
-    diff[np.arange(width) >= length[:, None]] = 0
-    odd = diff != 0
-    first = np.where(odd.any(1), odd.argmax(1), length)
-    return np.sign(diff[np.arange(len(at)), np.minimum(first, width - 1)]) * (first < length), first
+def _compare(text: np.ndarray, at: np.ndarray, flat: np.ndarray, place: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sign of (suffix of ``text`` at ``at``) minus (``length`` words of ``flat`` at ``place``), and how many words agree.
 
-
-def search(text: np.ndarray, sa: np.ndarray, rows: np.ndarray, length: np.ndarray, after: bool) -> np.ndarray:
-    """For each row, how many suffixes sort before it (``after``: before it or with it as a prefix)."""
-    lo, hi = np.zeros(len(rows), np.int64), np.full(len(rows), len(sa), np.int64)
+    Both arrays end with a 0, which no word equals.
+    """
+    same, sign, width = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), WINDOW
+    open_ = np.flatnonzero(length > 0)
+    while len(open_):
+        k = same[open_][:, None] + np.arange(width)
+        diff = text[np.minimum(at[open_][:, None] + k, len(text) - 1)] - flat[np.minimum(place[open_][:, None] + k, len(flat) - 1)]
+        diff[k >= length[open_][:, None]] = 0
+        odd = diff != 0
+        first = np.where(odd.any(1), odd.argmax(1), width)
+        same[open_] = np.minimum(same[open_] + first, length[open_])
+        found = first < width
+        sign[open_[found]] = np.sign(diff[found, first[found]])
+        open_ = open_[~found & (same[open_] < length[open_])]
+        width = min(4096, 2 * width)
+    return sign, same
+
+
+def search(text: np.ndarray, sa: np.ndarray, flat: np.ndarray, place: np.ndarray, length: np.ndarray, after: bool) -> np.ndarray:
+    """For each of some stretches of ``flat``, how many suffixes sort before it (``after``: before it or with it as a prefix)."""
+    lo, hi = np.zeros(len(place), np.int64), np.full(len(place), len(sa), np.int64)
     while (open_ := lo < hi).any():
         at = np.flatnonzero(open_)
         mid = (lo[at] + hi[at]) // 2
-        sign, _ = _compare(text, sa[mid], rows[at], length[at])
+        sign, _ = _compare(text, sa[mid], flat, place[at], length[at])
         right = sign <= 0 if after else sign < 0
         lo[at[right]] = mid[right] + 1
         hi[at[~right]] = mid[~right]
@@ -133,37 +164,56 @@ def search(text: np.ndarray, sa: np.ndarray, rows: np.ndarray, length: np.ndarra
 
 
 class Shard:
-    """Suffix array over some documents."""
+    """Suffix array over some documents, sorted by the first ``depth`` words."""
 
     def __init__(self, bench: Benchmark, docs: list[list[bytes]], depth: int = WINDOW):
         get = bench.vocab.get
         self.sizes = np.array([len(d) for d in docs], np.int64)
         self.offset = np.concatenate([[0], np.cumsum(self.sizes + 1)])
-        self.seq = np.zeros(int(self.offset[-1]) + depth, np.int32)
+        self.seq = np.zeros(int(self.offset[-1]) + 1, np.int32)
         for d, at in zip(docs, self.offset, strict=False):
             self.seq[at : at + len(d)] = np.fromiter(map(get, d, repeat(0)), np.int32, len(d))
         self.sa = suffix_array(self.seq, len(bench.vocab), depth)
 
-    def occurrences(self, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
-        """(window number, place) of every occurrence of every window."""
-        lo = search(self.seq, self.sa, bench.windows, bench.length, False)
-        hi = search(self.seq, self.sa, bench.windows, bench.length, True)
-        n = hi - lo
+    def matches(self, bench: Benchmark) -> tuple[np.ndarray, ...]:
+        """(document, start in it, item, start in it, words) of every verbatim match that holds a window, as long as it goes."""
+        item, place, length = bench.windows()
+        lo = search(self.seq, self.sa, bench.flat, place, length, False)
+        n = search(self.seq, self.sa, bench.flat, place, length, True) - lo
         window = np.repeat(np.arange(len(n)), n)
-        place = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        return window, self.sa[place]
-
-    def judge(self, bench: Benchmark) -> tuple[np.ndarray, list[list[int]]]:
-        """For each document, the flags of its words that lie in an occurrence, and the items that occur."""
-        window, place = self.occurrences(bench)
-        n = len(self.seq) + 1
-        cover = np.bincount(place, minlength=n) - np.bincount(place + bench.length[window], minlength=n)
-        hit = np.cumsum(cover) > 0
-        doc = np.searchsorted(self.offset, place, "right") - 1
-        found: list[list[int]] = [[] for _ in self.sizes]
-        for x in np.unique(doc * max(1, len(bench.ids)) + bench.item[window]).tolist():
-            found[x // len(bench.ids)].append(x % len(bench.ids))
-        return hit, found
+        at = self.sa[np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+        # Windows one step on in both texts go on with the match.
+        shift = at - place[window]
+        order = np.lexsort((at, shift, item[window]))
+        window, at, shift = window[order], at[order], shift[order]
+        new = np.concatenate([[True], (item[window[1:]] != item[window[:-1]]) | (shift[1:] != shift[:-1]) | (at[1:] != at[:-1] + 1)]) if len(at) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.concatenate([first[1:], [len(at)]])[: len(first)] - 1
+        doc = np.searchsorted(self.offset, at[first], "right") - 1
+        own = item[window[first]]
+        return doc, at[first] - self.offset[doc], own, place[window[first]] - bench.offset[own], at[last] - at[first] + length[window[last]]
+
+    def longest(self, bench: Benchmark, min_words: int, order: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(item, start in it, words, document, start in it) of each benchmark suffix's longest match; of its places the first by ``order`` of the documents."""
+        item, place, length = bench.suffixes()
+        if not len(self.sa):
+            return tuple(np.zeros(0, np.int64) for _ in range(5))
+        at = search(self.seq, self.sa, bench.flat, place, length, False)
+        best = np.zeros(len(place), np.int64)
+        for near in (at, at - 1):
+            _, same = _compare(self.seq, self.sa[np.clip(near, 0, len(self.sa) - 1)], bench.flat, place, length)
+            best = np.maximum(best, same)
+        keep = np.flatnonzero(best >= max(1, min_words))
+        lo = search(self.seq, self.sa, bench.flat, place[keep], best[keep], False)
+        hi = search(self.seq, self.sa, bench.flat, place[keep], best[keep], True)
+        doc = np.searchsorted(self.offset, self.sa, "right") - 1
+        by_place = np.lexsort((self.sa, order[doc]))
+        rank = np.empty(len(self.sa) + 1, np.int64)
+        rank[by_place], rank[-1] = np.arange(len(self.sa)), len(self.sa)
+        ranges, of = np.unique(np.stack([lo, hi], 1).reshape(-1, 2), axis=0, return_inverse=True)
+        least = np.minimum.reduceat(rank, ranges.ravel())[::2] if len(ranges) else lo
+        found = by_place[least[of.ravel()]]
+        return item[keep], place[keep] - bench.offset[item[keep]], best[keep], doc[found], self.sa[found] - self.offset[doc[found]]
 
 
 def _shards(it: Iterator[pd.DataFrame], text: str) -> Iterator[tuple[pd.DataFrame, list[list[bytes]]]]:
@@ -192,105 +242,60 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) ->
     yield Benchmark(rows)
 
 
+MATCH = "struct<item: string, item_start: long, start: long, n: long>"
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Columns doc_id, n_words, n_hit, n_items, items (sorted as strings), contaminated."""
+    """Columns doc_id, n_words, n_hit, n_items, items (sorted as strings), matches (item, item_start, start, n: in words), contaminated."""
     sc = docs.sparkSession.sparkContext
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = dict(own.dtypes)["doc_id"]
-    parts = []
-    for bench in _blocks(benchmark, item_id, item_text, block_words):
-        sent = sc.broadcast(bench.__dict__)
-
-        def judge(it: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            bench = Benchmark.of(sent.value)
-            for pdf, toks in _shards(it, "text"):
-                shard = Shard(bench, toks)
-                hit, found = shard.judge(bench)
-                spans = []
-                for k, n in enumerate(shard.sizes):
-                    own = hit[shard.offset[k] : shard.offset[k] + n]
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
-                    spans.append(edge)
-                yield pd.DataFrame({
-                    "doc_id": pdf["doc_id"], "key": pdf["key"], "n_words": shard.sizes, "edges": spans,
-                    "items": [sorted(bench.ids[i] for i in f) for f in found],
-                })
-
-        keyed = own.withColumn("key", F.coalesce(F.xxhash64("text"), F.lit(0)))
-        parts.append(keyed.mapInPandas(judge, f"doc_id {kind}, key long, n_words long, edges array<long>, items array<string>"))
-    if len(parts) == 1:
-        out = parts[0]
-    else:
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionAll(p)
-        out = out.groupBy("doc_id", "key", "n_words").agg(F.flatten(F.collect_list("edges")).alias("edges"), F.flatten(F.collect_list("items")).alias("items"))
-
-    def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            hits = []
-            for n, edges in zip(pdf["n_words"], pdf["edges"], strict=True):
-                c = np.zeros(n + 1, np.int64)
-                e = np.asarray(edges, np.int64)
-                np.add.at(c, e[0::2], 1)
-                np.add.at(c, e[1::2], -1)
-                hits.append(int((np.cumsum(c)[:n] > 0).sum()))
-            yield pdf.assign(n_hit=hits)[["doc_id", "n_words", "n_hit", "items"]]
-
-    merged = len(parts) > 1
-    if merged:
-        out = out.mapInPandas(count, f"doc_id {kind}, n_words long, n_hit long, items array<string>")
-    else:
-        sums = F.aggregate("edges", F.struct(F.lit(0).cast("long").alias("s"), F.lit(-1).cast("long").alias("sign")), lambda a, x: F.struct((a["s"] + a["sign"] * x).alias("s"), (-a["sign"]).alias("sign")), lambda a: a["s"])
-        out = out.withColumn("n_hit", sums)
-    items = F.array_sort(F.array_distinct("items"))
+    sent = [sc.broadcast(b.__dict__) for b in _blocks(benchmark, item_id, item_text, block_words)]
+
+    def judge(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, toks in _shards(it, "text"):
+            found: list[list[dict]] = [[] for _ in toks]
+            for bench in _opened(sent):
+                for d, at, item, start, n in zip(*(x.tolist() for x in Shard(bench, toks).matches(bench)), strict=True):
+                    found[d].append({"item": bench.ids[item], "item_start": start, "start": at, "n": n})
+            sizes, hits, items = [len(t) for t in toks], [], []
+            for size, own in zip(sizes, found, strict=True):
+                hit = np.zeros(size, bool)
+                for m in own:
+                    hit[m["start"] : m["start"] + m["n"]] = True
+                hits.append(int(hit.sum()))
+                items.append(sorted({m["item"] for m in own}))
+                own.sort(key=lambda m: (m["start"], m["item"], m["item_start"]))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": sizes, "n_hit": hits, "items": items, "matches": found})
+
+    out = own.mapInPandas(judge, f"doc_id {dict(own.dtypes)['doc_id']}, n_words long, n_hit long, items array<string>, matches array<{MATCH}>")
     return out.select(
-        "doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), items.alias("items"),
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "matches",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 5, max_words: int = 512, block_words: int = BLOCK_WORDS) -> DataFrame:
+def longest_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The longest verbatim match of each benchmark suffix in the corpus, with one place.
 
     Columns item_id (string), item_start, length, doc_id, doc_start, all in words; of
-    equal lengths the smallest (doc_id, doc_start) stays. Matches are measured up to
-    ``max_words`` words; suffixes whose longest match is under ``min_words`` are left out.
+    equal lengths the smallest (doc_id, doc_start) stays, null doc_ids last. Matches are as long as they go;
+    suffixes whose longest match is under ``min_words`` are left out.
     """
     sc = docs.sparkSession.sparkContext
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kind = dict(own.dtypes)["doc_id"]
-    out = None
-    for bench in _blocks(benchmark, item_id, item_text, block_words):
-        sent = sc.broadcast(bench.__dict__)
-
-        def find(it: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            bench = Benchmark.of(sent.value)
-            longest = max((len(s) for s in bench.seqs), default=0)
-            width = max(1, min(max_words, longest))
-            for pdf, toks in _shards(it, "text"):
-                shard = Shard(bench, toks, width)
-                for i, s in enumerate(bench.seqs):
-                    if not len(s) or not len(shard.sa):
-                        continue
-                    length = np.minimum(width, len(s) - np.arange(len(s)))
-                    rows = np.zeros((len(s), width), np.int32)
-                    for j in range(len(s)):
-                        rows[j, : length[j]] = s[j : j + length[j]]
-                    at = search(shard.seq, shard.sa, rows, length, False)
-                    best, place = np.zeros(len(s), np.int64), np.zeros(len(s), np.int64)
-                    for near in (at, at - 1):
-                        p = shard.sa[np.clip(near, 0, len(shard.sa) - 1)]
-                        _, same = _compare(shard.seq, p, rows, length)
-                        better = same > best
-                        best[better], place[better] = same[better], p[better]
-                    keep = np.flatnonzero(best >= min_words)
-                    doc = np.searchsorted(shard.offset, place[keep], "right") - 1
-                    yield pd.DataFrame({"item_id": bench.ids[i], "item_start": keep, "length": best[keep], "doc_id": pdf["doc_id"].to_numpy()[doc], "doc_start": place[keep] - shard.offset[doc]})
-
-        part = own.mapInPandas(find, f"item_id string, item_start long, length long, doc_id {kind}, doc_start long")
-        out = part if out is None else out.unionAll(part)
-    best = F.max_by(F.struct("doc_id", "doc_start", "length"), F.struct(F.col("length"), -F.col("doc_id"), -F.col("doc_start")))
+    sent = [sc.broadcast(b.__dict__) for b in _blocks(benchmark, item_id, item_text, block_words)]
+
+    def find(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, toks in _shards(it, "text"):
+            order = pdf["doc_id"].rank(method="dense", na_option="bottom").to_numpy()
+            ids = pdf["doc_id"].reset_index(drop=True)
+            for bench in _opened(sent):
+                depth = int(bench.sizes.max(initial=1))
+                item, start, n, doc, at = Shard(bench, toks, depth).longest(bench, min_words, order)
+                yield pd.DataFrame({"item_id": [bench.ids[i] for i in item], "item_start": start, "length": n, "doc_id": ids.iloc[doc].to_numpy(), "doc_start": at})
+
+    out = own.mapInPandas(find, f"item_id string, item_start long, length long, doc_id {dict(own.dtypes)['doc_id']}, doc_start long")
+    best = F.min_by(F.struct("doc_id", "doc_start", "length"), F.struct(-F.col("length"), F.col("doc_id").isNull(), "doc_id", "doc_start"))
     return out.groupBy("item_id", "item_start").agg(best.alias("b")).select("item_id", "item_start", "b.length", "b.doc_id", "b.doc_start")
 
 

@@ -79,7 +79,7 @@ def brute_hits(docs, items):
             wins = {tuple(iw[j : j + k]) for j in range(len(iw) - k + 1)} if iw else set()
             places = [j for j in range(len(w) - k + 1) if iw and tuple(w[j : j + k]) in wins]
             if places:
-                found.append(str(i))
+                found.append("" if i is None else str(i))
             hit.update(x for j in places for x in range(j, j + k))
         out.append((d, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
     return out
@@ -93,10 +93,15 @@ def test_decontamination(spark, make_docs, monkeypatch, block):
     items = [(10, say(30)), (9, say(13)), (8, say(5)), (7, ""), (6, None), (5, "Only!!"), (4, say(40))]
     items.append((3, items[0][1]))
     docs = [(k, say(int(rng.integers(0, 60)))) for k in range(30)]
-    docs += [(100, "x " * 50 + items[0][1].upper() + " y" * 700), (101, items[1][1] + " " + items[6][1]), (102, None), (103, ""), (104, "only"), (105, items[0][1] + " " + items[0][1]), (105, "zz"), (None, items[2][1])]
+    docs += [(100, "x " * 50 + items[0][1].upper() + " y" * 700), (101, items[1][1] + " " + items[6][1]), (102, None), (103, ""), (104, "only"), (105, items[0][1] + " " + items[0][1]), (105, "zz"), (None, items[2][1])] + [(106, items[1][1])] * 3
+    items += [(2, items[5][1]), (None, items[0][1][9:])]
     monkeypatch.setattr(suffix_decontam, "SHARD_WORDS", 150)
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = suffix_decontam.contamination(make_docs(docs), bench, block_words=block).collect()
+    texts = {i: suffix_decontam.words(t) for i, t in items}
+    for r in out:
+        for m in r.matches:
+            assert m.n >= min(13, len(texts[int(m["item"])] if m["item"] else texts[None]))
     got = sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in out), key=str)
     assert got == sorted(brute_hits(docs, items), key=str)
     assert suffix_decontam.contamination(make_docs([]), bench).count() == 0
@@ -109,6 +114,42 @@ def test_longest(spark, make_docs):
     assert {(r.item_start, r.length, r.doc_id, r.doc_start) for r in got} == {(1, 5, 1, 1), (2, 6, 2, 0), (3, 5, 2, 1), (4, 4, 2, 2), (5, 3, 2, 3)}
 
 
+def brute_longest(docs, items, least):
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    out, docs = set(), [(d, word.findall(low(t))) for d, t in docs]
+    for i, t in items:
+        w = word.findall(low(t))
+        for j in range(len(w)):
+            best = (0,)
+            for d, x in docs:
+                for k in range(len(x)):
+                    n = 0
+                    while j + n < len(w) and k + n < len(x) and w[j + n] == x[k + n]:
+                        n += 1
+                    best = max(best, (n, -d, -k))
+            if best[0] >= least:
+                out.add((str(i), j, best[0], -best[1], -best[2]))
+    return out
+
+
+def test_longest_brute(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(2)
+    say = lambda n: " ".join(rng.choice(list("abcd"), n))
+    items = [(1, say(30)), (2, say(12)), (3, "a"), (4, None)]
+    docs = [(k, say(int(rng.integers(0, 40)))) for k in (9, 3, 7, 1, 5)] + [(8, items[0][1]), (2, "q " + items[0][1] + " q")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for shard, block in ((10**6, 10**6), (30, 15)):
+        monkeypatch.setattr(suffix_decontam, "SHARD_WORDS", shard)
+        got = suffix_decontam.longest_matches(make_docs(docs), bench, min_words=2, block_words=block).collect()
+        assert {(r.item_id, r.item_start, r.length, r.doc_id, r.doc_start) for r in got} == brute_longest(docs, items, 2)
+    long = " ".join(f"w{k}" for k in range(1500))
+    bench = spark.createDataFrame([(1, long)], "item_id long, text string")
+    got = suffix_decontam.longest_matches(make_docs([(4, "x " + long + " y"), (3, long)]), bench).where("item_start = 0").first()
+    assert (got.length, got.doc_id, got.doc_start) == (1500, 3, 0)
+    (m,) = suffix_decontam.contamination(make_docs([(4, "x " + long + " y")]), bench).first().matches
+    assert tuple(m) == ("1", 0, 1, 1500)
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for _ in range(20):
