@@ -2,15 +2,17 @@
 
 Vectors are dealt to shards of bounded size by a hash of their id. A shard's graph is
 kept as flat arrays: vectors, ids, and for each layer its nodes and a table of neighbour
-numbers (-1 where there is none). Nodes join a layer in a random order; each is linked to
-near, diverse nodes that joined before it and these link back, so early nodes have the
-long links and late ones the short. The candidates for links come from block products
-within the shard. A search descends the layers with a beam; all queries of a
-block move in step. Shards' results are merged by score.
+numbers (-1 where there is none). Layers are built from the top. Nodes join a layer in a random
+order, some at a time: each finds its way down the layers above and then through the layer as it
+stands by beam search, is linked to near, diverse nodes of those it found (or that join with it),
+and these link back; so early nodes have the long links and late ones the short. A search
+descends the layers with a beam; all queries of a block move in step. Shards' results are
+merged by score.
 
 For largest inner products the graph is built on vectors with one more component that
-makes all norms equal. Equal vectors of a shard are one node that carries all their ids,
-so groups of copies neither crowd the graph nor get lost. Scores are computed anew on
+makes all norms equal, scaled so that neither large nor small components are lost in single
+precision. Equal vectors of a shard are one node that carries all their ids, each once,
+so groups of copies and repeated rows neither crowd the graph nor push others out. Scores are computed anew on
 the original vectors, in double precision, adding components in order.
 
 Defined results: rows with a null id, and vectors that are null, empty, zero or hold null
@@ -31,10 +33,14 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import materialise
 
-SHARD_ROWS = 8192
+SHARD_ROWS = 16_384
 LINKS = 16
 CANDIDATES = 64
-BEAM = 96
+#: Nodes that join a layer at a time at most.
+JOIN = 1024
+#: Nodes of a layer from which every search in it starts besides those found above.
+ENTRIES = 8
+BEAM = 128
 QUERY_BLOCK = 256
 INDEX = "dim int, shard int, n int, ids binary, owner binary, vectors binary, layers array<struct<nodes: binary, links: binary, width: int>>"
 
@@ -65,34 +71,101 @@ def _select(near: np.ndarray, sims: np.ndarray, x: np.ndarray, width: int) -> np
     return out
 
 
-def _layer(x: np.ndarray, width: int) -> np.ndarray:
-    """Links of a layer whose nodes join in row order: (rows, 2 * width) row numbers."""
-    n = len(x)
-    c = min(CANDIDATES, max(1, n - 1))
-    near, sims = np.full((n, c), -1, np.int32), np.full((n, c), -np.inf, np.float32)
-    for at in range(0, n, 512):
-        s = x[at : at + 512] @ x[: min(n, at + 512)].T
-        s[np.arange(s.shape[1]) >= np.arange(at, at + len(s))[:, None]] = -np.inf
-        k = min(c, s.shape[1])
-        top = np.argpartition(-s, k - 1, axis=1)[:, :k] if k < s.shape[1] else np.tile(np.arange(k), (len(s), 1))
-        val = np.take_along_axis(s, top, 1)
-        order = np.argsort(-val, axis=1, kind="stable")
-        top, val = np.take_along_axis(top, order, 1), np.take_along_axis(val, order, 1)
-        near[at : at + 512, :k], sims[at : at + 512, :k] = np.where(np.isfinite(val), top, -1), val
-    forward = _select(near, sims, x, width)
-    # Links back; where they are too many, the near and diverse ones stay.
-    a, j = np.nonzero(forward >= 0)
-    b = forward[a, j]
-    src, dst = np.concatenate([a, b]), np.concatenate([b, a])
-    val = np.einsum("ij,ij->i", x[src], x[dst])
-    order = np.lexsort((-val, src))
-    src, dst, val = src[order], dst[order], val[order]
-    place = np.arange(len(src)) - np.searchsorted(src, src)
-    wide = int(min(place.max(initial=0) + 1, 4 * width))
-    keep = place < wide
-    cand, score = np.full((n, wide), -1, np.int32), np.full((n, wide), -np.inf, np.float32)
-    cand[src[keep], place[keep]], score[src[keep], place[keep]] = dst[keep], val[keep]
-    return _select(cand, score, x, 2 * width)
+def _beam(x: np.ndarray, q: np.ndarray, table: np.ndarray, row: np.ndarray | None, start: np.ndarray, width: int, wave: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """The ``width`` nearest nodes found from ``start`` (queries, any) and their nearness, by falling nearness, -1 where fewer.
+
+    ``table``: links of each node, at its number or at ``row`` of it.
+    """
+    n, size = len(q), len(x) + 1
+    # The place in its wave at which a node was last met, from 1; nodes of earlier waves are not met again.
+    met = np.zeros(n * size, np.int32)
+    best, score = np.full((n, width), -1, np.int32), np.full((n, width), -np.inf, np.float32)
+    closed = np.ones((n, width), bool)
+    live, fresh = np.arange(n), start.astype(np.int32)
+    while True:
+        r, c = np.nonzero(fresh >= 0)
+        node = fresh[r, c]
+        key = live[r].astype(np.int64) * size + node
+        new = met[key] == 0
+        r, node, key = r[new], node[new], key[new]
+        number = np.arange(1, len(r) + 1, dtype=np.int32)
+        met[key] = number
+        once = met[key] == number
+        r, node = r[once], node[once]
+        # What is new for each query, side by side.
+        place = np.arange(len(r)) - np.searchsorted(r, r)
+        wide = int(place.max(initial=-1)) + 1
+        f, s = np.full((len(live), wide), -1, np.int32), np.full((len(live), wide), -np.inf, np.float32)
+        f[r, place], s[r, place] = node, np.einsum("ij,ij->i", x[node], q[live[r]])
+        allv, alls = np.concatenate([best[live], f], axis=1), np.concatenate([score[live], s], axis=1)
+        allo = np.concatenate([closed[live], f < 0], axis=1)
+        if wide:
+            top = np.argpartition(-alls, width - 1, axis=1)[:, :width]
+            allv, alls, allo = (np.take_along_axis(y, top, 1) for y in (allv, alls, allo))
+        rest = np.where(allo, -np.inf, alls)
+        pick = np.argpartition(-rest, wave - 1, axis=1)[:, :wave] if wave < width else np.tile(np.arange(width), (len(live), 1))
+        go = np.isfinite(np.take_along_axis(rest, pick, 1))
+        chosen = np.where(go, np.take_along_axis(allv, pick, 1), -1)
+        np.put_along_axis(allo, pick, True, 1)
+        best[live], score[live], closed[live] = allv, alls, allo
+        some = go.any(1)
+        if not some.any():
+            order = np.argsort(-score, axis=1, kind="stable")
+            return np.take_along_axis(best, order, 1), np.take_along_axis(score, order, 1)
+        chosen, live = chosen[some], live[some]
+        known = np.maximum(chosen, 0)
+        fresh = np.where(chosen[:, :, None] >= 0, table[known if row is None else row[known]], -1).reshape(len(live), -1)
+
+
+def _layer(x: np.ndarray, width: int, start: np.ndarray) -> np.ndarray:
+    """Links of a layer whose nodes join in row order: (rows, 2 * width) row numbers. ``start``: rows near each node, from the layers above."""
+    n, table, done = len(x), np.full((len(x), 2 * width), -1, np.int32), 0
+    while done < n:
+        size = min(n - done, JOIN, max(64, done))
+        new = np.arange(done, done + size)
+        near = x[new] @ x[new].T
+        near[np.triu_indices(size)] = -np.inf
+        cand, sims = np.tile(new, (size, 1)), near
+        if done:
+            for at in range(0, size, QUERY_BLOCK):
+                some = new[at : at + QUERY_BLOCK]
+                begin = np.concatenate([np.where(start[some] < done, start[some], -1), np.tile(np.arange(min(ENTRIES, done)), (len(some), 1))], axis=1)
+                f, v = _beam(x[:done], x[some], table[:done], None, begin, CANDIDATES)
+                if not at:
+                    found, score = np.full((size, CANDIDATES), -1, np.int32), np.full((size, CANDIDATES), -np.inf, np.float32)
+                found[at : at + len(some)], score[at : at + len(some)] = f, v
+            cand, sims = np.concatenate([found, cand], axis=1), np.concatenate([score, sims], axis=1)
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :CANDIDATES]
+        cand, sims = np.take_along_axis(cand, order, 1), np.take_along_axis(sims, order, 1)
+        forward = _select(np.where(np.isfinite(sims), cand, -1), sims, x, width)
+        table[new, :width] = forward
+        # Links back; where they are too many, the near and diverse ones stay.
+        a, j = np.nonzero(forward >= 0)
+        src, dst = forward[a, j], new[a]
+        touched = np.unique(src)
+        old_r, old_c = np.nonzero(table[touched] >= 0)
+        src, dst = np.concatenate([touched[old_r], src]), np.concatenate([table[touched][old_r, old_c], dst])
+        pair = np.unique(src.astype(np.int64) * n + dst)
+        src, dst = pair // n, pair % n
+        val = np.einsum("ij,ij->i", x[src], x[dst])
+        order = np.lexsort((-val, src))
+        src, dst, val = src[order], dst[order], val[order]
+        place = np.arange(len(src)) - np.searchsorted(src, src)
+        wide = int(min(place.max(initial=0) + 1, 4 * width))
+        keep = place < wide
+        back, score = np.full((len(touched), wide), -1, np.int32), np.full((len(touched), wide), -np.inf, np.float32)
+        r = np.searchsorted(touched, src[keep])
+        back[r, place[keep]], score[r, place[keep]] = dst[keep], val[keep]
+        links = _select(back, score, x, 2 * width)
+        table[touched] = -1
+        table[touched, : links.shape[1]] = links
+        done += size
+    return table
+
+
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Each row divided by its largest component, as single precision; the order of its inner products stays."""
+    return (v / np.maximum(np.abs(v).max(axis=1, initial=0, keepdims=True), np.finfo(np.float64).tiny)).astype(np.float32)
 
 
 class Graph:
@@ -101,8 +174,13 @@ class Graph:
     def __init__(self, ids: np.ndarray, owner: np.ndarray, vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]):
         self.ids, self.owner, self.vectors, self.layers = ids, owner, vectors, layers
         self.first = np.searchsorted(owner, np.arange(len(vectors) + 1))
-        norm = np.linalg.norm(vectors, axis=1).max(initial=0) or 1.0
-        self.x = (vectors / norm).astype(np.float32)
+        self.x = self._unit(vectors)
+
+    @staticmethod
+    def _unit(vectors: np.ndarray) -> np.ndarray:
+        """All vectors divided by one number, so that the longest has length 1."""
+        scaled = vectors / (np.abs(vectors).max(initial=0) or 1.0)
+        return (scaled / (np.linalg.norm(scaled, axis=1).max(initial=0) or 1.0)).astype(np.float32)
 
     @classmethod
     def build(cls, ids: np.ndarray, vectors: np.ndarray, links: int = LINKS) -> Graph:
@@ -112,75 +190,53 @@ class Graph:
         rank = np.empty_like(shuffle)
         rank[shuffle] = np.arange(len(shuffle))
         distinct, owner = distinct[shuffle], rank[owner.ravel()]
-        order = np.lexsort((ids, owner))
-        ids, owner = ids[order], owner[order]
-        norms = np.linalg.norm(distinct, axis=1)
-        top = norms.max()
-        x = np.concatenate([distinct / top, np.sqrt(np.maximum(0, 1 - (norms / top) ** 2))[:, None]], axis=1).astype(np.float32)
+        pairs = np.unique(np.stack([owner, ids], axis=1), axis=0)
+        owner, ids = pairs[:, 0], pairs[:, 1]
+        unit = cls._unit(distinct)
+        norms = np.minimum(np.linalg.norm(unit, axis=1), 1)
+        x = np.concatenate([unit, np.sqrt(1 - norms**2)[:, None]], axis=1).astype(np.float32)
         u = np.random.default_rng(1).random(len(x))
         level = np.floor(-np.log(np.maximum(u, 1e-12)) / math.log(links)).astype(int)
         level[0] = max(level.max(), 1)
-        layers = []
+        out = cls(ids, owner.astype(np.int32), distinct, [])
         for k in range(level.max(), -1, -1):
             nodes = np.flatnonzero(level >= k).astype(np.int32)
-            local = _layer(x[nodes], links)
-            table = np.where(local >= 0, nodes[np.maximum(local, 0)], -1).astype(np.int32)
-            layers.append((nodes, table))
-        return cls(ids, owner.astype(np.int32), distinct, layers)
-
-    def _beam(self, q: np.ndarray, layer: tuple[np.ndarray, np.ndarray], start: np.ndarray, width: int, wave: int = 4) -> np.ndarray:
-        """The ``width`` nearest nodes found from ``start`` (queries, any), by falling nearness, -1 where fewer."""
+            # What the layers above find for each node, as rows of this layer.
+            above = np.concatenate([out._descend(x, x[nodes[at : at + QUERY_BLOCK]]) for at in range(0, len(nodes), QUERY_BLOCK)])
+            start = np.where(above >= 0, np.searchsorted(nodes, np.maximum(above, 0)), len(x))
+            local = _layer(x[nodes], links, start)
+            out.layers.append((nodes, np.where(local >= 0, nodes[np.maximum(local, 0)], -1).astype(np.int32)))
+        return out
+
+    def _walk(self, x: np.ndarray, q: np.ndarray, layer: tuple[np.ndarray, np.ndarray], start: np.ndarray, width: int) -> np.ndarray:
         nodes, table = layer
-        row = np.full(len(self.x), -1, np.int32)
+        row = np.full(len(x), -1, np.int32)
         row[nodes] = np.arange(len(nodes))
-        n, seen = len(q), np.zeros((len(q), len(self.x) + 1), bool)
-        best, score = np.full((n, width), -1, np.int32), np.full((n, width), -np.inf, np.float32)
-        opened = np.zeros((n, width), bool)
-        live, fresh = np.arange(n), start.astype(np.int32)
-        while True:
-            at = np.arange(len(live))[:, None]
-            good = (fresh >= 0) & ~seen[live[:, None], fresh]
-            # The same node may come from two links of one wave.
-            order = np.argsort(fresh, axis=1, kind="stable")
-            f = np.take_along_axis(fresh, order, 1)
-            again = np.concatenate([np.zeros((len(f), 1), bool), f[:, 1:] == f[:, :-1]], axis=1)
-            good = np.take_along_axis(good, order, 1) & ~again
-            seen[live[:, None], f] = True
-            s = np.full(f.shape, -np.inf, np.float32)
-            r, c = np.nonzero(good)
-            s[r, c] = np.einsum("ij,ij->i", self.x[f[r, c]], q[live[r]])
-            allv = np.concatenate([best[live], np.where(good, f, -1)], axis=1)
-            alls = np.concatenate([score[live], s], axis=1)
-            allo = np.concatenate([opened[live], np.zeros(f.shape, bool)], axis=1)
-            order = np.argsort(-alls, axis=1, kind="stable")[:, :width]
-            best[live], score[live], now = allv[at, order], alls[at, order], allo[at, order]
-            rank = np.cumsum(~now & (best[live] >= 0), axis=1)
-            pick = ~now & (best[live] >= 0) & (rank <= wave)
-            opened[live] = now | pick
-            some = pick.any(1)
-            if not some.any():
-                break
-            chosen = np.where(pick, best[live], -1)
-            chosen = -np.sort(-chosen, axis=1)[:, :wave]
-            chosen, live = chosen[some], live[some]
-            fresh = np.where(chosen[:, :, None] >= 0, table[row[np.maximum(chosen, 0)]], -1).reshape(len(live), -1)
-        return best
+        return _beam(x, q, table, row, start, width)[0]
+
+    def _descend(self, x: np.ndarray, q: np.ndarray, layers: int | None = None, width: int = 16) -> np.ndarray:
+        """Nodes near each query by the first ``layers`` layers (all, if None), -1 where fewer."""
+        some = self.layers[:layers]
+        start = np.tile(some[0][0][:ENTRIES], (len(q), 1)) if some else np.full((len(q), 1), -1, np.int32)
+        for layer in some:
+            start = self._walk(x, q, layer, start, width)
+        return start
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, width: int = BEAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query id, id, score): the ``k`` best other ids of each query that the beam finds."""
         out = []
         for at in range(0, len(queries), QUERY_BLOCK):
             q64, own = queries[at : at + QUERY_BLOCK], query_ids[at : at + QUERY_BLOCK]
-            q = q64.astype(np.float32)
-            start = np.tile(self.layers[0][0][:8], (len(q), 1))
-            for layer in self.layers[:-1]:
-                start = self._beam(q, layer, start, 16)
-            found = self._beam(q, self.layers[-1], start, width)
+            q = _scaled(q64)
+            start = self._descend(self.x, q, len(self.layers) - 1)
+            start = np.concatenate([start, np.tile(self.layers[-1][0][:ENTRIES], (len(q), 1))], axis=1)
+            found = self._walk(self.x, q, self.layers[-1], start, width)
             r, c = np.nonzero(found >= 0)
             node = found[r, c]
             exact = np.zeros(len(r))
-            for d in range(queries.shape[1]):
-                exact += q64[r, d] * self.vectors[node, d]
+            with np.errstate(over="ignore", invalid="ignore"):
+                for d in range(queries.shape[1]):
+                    exact += q64[r, d] * self.vectors[node, d]
             # All copies of a node score the same, and the smallest k + 1 ids can be among the best k.
             n = np.minimum(self.first[node + 1] - self.first[node], k + 1)
             r, s = np.repeat(r, n), np.repeat(exact, n)

@@ -168,6 +168,26 @@ def test_neighbours(spark, sf_dir):
     assert hnsw.search(hnsw.build_index(vectors.limit(0)), vectors.limit(0)).count() == 0
 
 
+def test_repeats_and_huge_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 8))
+    x[100:200] *= 1e200
+    x[200:] *= 1e-200
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows + rows[20:21] * 2 + rows[120:121] * 30 + rows[7:8] * 30, "vec_id long, embedding array<double>")
+    vectors = hnsw.clean(df)
+    got = hnsw.search(hnsw.build_index(vectors, shard_rows=200), vectors.where("vec_id % 20 = 0"), 20).toPandas()
+    for q in range(0, 300, 20):
+        part = got[got.query_id == q].sort_values("rank")
+        assert part["rank"].tolist() == list(range(1, 21)) and part.vec_id.nunique() == 20
+    part = got[got.query_id == 0].sort_values("rank")
+    with np.errstate(over="ignore"):
+        s = x @ x[0]
+    s[0] = -np.inf
+    best = sorted(range(300), key=lambda k: (-s[k], k))[:20]
+    assert len(set(best) & set(part.vec_id)) >= 18
+
+
 # URLs
 
 
