@@ -237,7 +237,13 @@ def test_mix(make_docs, documents):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if np.minimum(cap, mid * w).sum() < total else (lo, mid)
     assert np.allclose(g.target, np.minimum(cap, hi * w), rtol=1e-9)
-    assert np.allclose(g.rate * g.words, g.target, rtol=1e-9)
+    # The dual is solved: rates meet the targets, and are exp(lambda * size) with one lambda for each source, up to the cap.
+    met = (out.rate * out["size"]).groupby(out.source.fillna("~")).sum()
+    assert np.allclose(met, g.target, rtol=1e-9)
+    free = out[(out.rate < 2) & (out["size"] > 0) & (out.target > 0)]
+    lam = (np.log(free.rate) / free["size"]).groupby(free.source.fillna("~"))
+    assert np.allclose(lam.min(), lam.max(), rtol=1e-9, atol=1e-15) and (lam.max() > 0).any() and (lam.max() < 0).any()
+    assert (out.rate <= 2).all() and (out.copies >= np.floor(out.rate)).all() and (out.copies <= np.ceil(out.rate)).all()
     assert ((g.taken - g.target).abs() <= g.top).all() and (out.taken <= 2 * out["size"]).all()
     again = entropy_mix.mix(docs.repartition(3)).toPandas()
     key = ["doc_id", "size", "taken"]
