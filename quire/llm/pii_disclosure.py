@@ -2,7 +2,8 @@
 
 Base detectors find e-mail addresses, IP addresses, card numbers and phone numbers; each
 distinct value is a protected entity. Terms (words of 4 letters or more) that stand within
-80 characters of an entity are measured over the whole corpus: with document frequencies
+``near`` characters of an entity (80; None: anywhere in the document), whatever else stands
+there, are measured over the whole corpus: with document frequencies
 as probabilities, a term's pointwise mutual information with the entity is compared with the
 entity's information content. A term that gives away ``ratio`` of that content or more, in
 ``min_docs`` documents or more, discloses the entity wherever it stands, and is
@@ -25,37 +26,54 @@ from pyspark.sql import functions as F
 from quire.llm.common import materialise
 
 KINDS = ("email", "ip", "card", "phone", "term")
+#: Characters on either side of an entity in which terms count as standing with it, unless ``near`` says otherwise.
 NEAR = 80
 TERM = r"\p{L}{4,}"
 #: Rows of (term) or (document, pattern) up to which a table is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
+#: Bytes of such a table, written as JSON, up to which it is broadcast.
+BROADCAST_BYTES = 16 << 20
+#: Characters that the shortest match of any detector has.
+SHORTEST = 4
 
 
-def _matches(kind: int, text: Column, pattern: str, when: Column) -> Column:
+def _around(pairs: Column, gaps: Column, i: Column, near: int) -> tuple[Column, Column]:
+    """Up to ``near`` characters before and after match ``i``, whatever other matches stand there; words that are cut off are left out."""
+    most = near // SHORTEST + 2
+    join = lambda x: F.array_join(F.flatten(x), "")
+    before = F.slice(pairs, F.greatest(F.lit(1), i + 1 - most), F.least(i, F.lit(most)))
+    after = F.slice(pairs, i + 2, F.lit(most))
+    left = F.concat(join(F.transform(before, lambda x: F.array(x["l"], x["m"]))), F.get(gaps, i))
+    right = F.concat(F.get(gaps, i + 1), join(F.transform(after, lambda x: F.array(x["m"], x["r"]))))
+    cut = lambda text, part, edge: F.when(F.length(text) > near, F.regexp_replace(part, edge, "")).otherwise(text)
+    return cut(left, F.right(left, F.lit(near)), r"^\p{L}+"), cut(right, F.left(right, F.lit(near)), r"\p{L}+$")
+
+
+def _matches(kind: int, text: Column, pattern: str, when: Column, near: int | None) -> Column:
     """Array of struct(kind, place, gap: characters since the last match, value, left, right: text around) where ``when`` holds."""
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    each = F.transform(
-        F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("l"), F.slice(gaps, F.lit(2), F.size(found)).alias("r")),
-        lambda x, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("place"), F.length(x["l"]).alias("gap"), x["m"].alias("value"),
-            F.when(F.length(x["l"]) > NEAR, F.regexp_replace(F.right(x["l"], F.lit(NEAR)), r"^\p{L}+", "")).otherwise(x["l"]).alias("left"),
-            F.when(F.length(x["r"]) > NEAR, F.regexp_replace(F.left(x["r"], F.lit(NEAR)), r"\p{L}+$", "")).otherwise(x["r"]).alias("right"),
-        ),
-    )
-    return F.when(when, each)
+    # Letters of neighbouring matches are no words of the text.
+    masked = F.transform(found, lambda m: F.regexp_replace(m, r"\p{L}", "0")) if kind == 0 else found
+    pairs = F.arrays_zip(masked.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("l"), F.slice(gaps, F.lit(2), F.size(found)).alias("r"), found.alias("v"))
+
+    def one(x: Column, i: Column) -> Column:
+        left, right = (F.lit(""), F.lit("")) if near is None else _around(pairs, gaps, i, near)
+        return F.struct(F.lit(kind).alias("kind"), i.alias("place"), F.length(x["l"]).alias("gap"), x["v"].alias("value"), left.alias("left"), right.alias("right"))
+
+    return F.when(when, F.transform(pairs, one))
 
 
-def base_spans(own: DataFrame) -> DataFrame:
+def base_spans(own: DataFrame, near: int | None = NEAR) -> DataFrame:
     """(doc_id, th, kind, start, stop, value, left, right) of the base detectors' matches."""
     t = F.col("text")
     # A dot that no domain can hold becomes a sign that only a local part can hold; a separator not between digits ends a card.
     mail = F.regexp_replace(t, r"(?<![A-Za-z0-9-])\.|\.(?![A-Za-z0-9-])", "_")
     card = F.regexp_replace(t, r"(?<![0-9])[ -]|[ -](?![0-9])", "\n")
     found = F.array(
-        _matches(0, F.when(t.contains("@"), mail), r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]*+", t.contains("@")),
-        _matches(1, t, r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]")),
-        _matches(2, F.when(t.rlike(r"[0-9][0-9 -]{14,}+"), card), r"[0-9][0-9 -]{15,}+", t.rlike(r"[0-9][0-9 -]{14,}+")),
-        _matches(3, t, r"\+[0-9][ ().0-9-]+[0-9]", t.rlike(r"\+[0-9]")),
+        _matches(0, F.when(t.contains("@"), mail), r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]*+", t.contains("@"), near),
+        _matches(1, t, r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"), near),
+        _matches(2, F.when(t.rlike(r"[0-9][0-9 -]{14,}+"), card), r"[0-9][0-9 -]{15,}+", t.rlike(r"[0-9][0-9 -]{14,}+"), near),
+        _matches(3, t, r"\+[0-9][ ().0-9-]+[0-9]", t.rlike(r"\+[0-9]"), near),
     )
     some = t.contains("@") | t.rlike(r"\+[0-9]|[0-9]\.[0-9]++\.[0-9]++\.[0-9]|[0-9][0-9 -]{14,}+")
     rows = own.where(some).select("doc_id", "th", F.explode(F.flatten(F.array_compact(found))).alias("m")).select("doc_id", "th", "m.*")
@@ -73,15 +91,16 @@ def base_spans(own: DataFrame) -> DataFrame:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if the number of rows is under the bound, else leave the join to a shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """Broadcast if rows and bytes are under their bounds, else leave the join to a shuffle."""
+    rows, size = df.agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
 
 
 def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def disclosing_terms(own: DataFrame, spans: DataFrame, ratio: float = 0.9, min_docs: int = 3) -> DataFrame:
+def disclosing_terms(own: DataFrame, spans: DataFrame, ratio: float = 0.9, min_docs: int = 3, near: int | None = NEAR) -> DataFrame:
     """(term, entity, bits, content, certain): terms that give away ``ratio`` of an entity's information content.
 
     Frequencies are counts of documents over the whole corpus.
@@ -92,10 +111,15 @@ def disclosing_terms(own: DataFrame, spans: DataFrame, ratio: float = 0.9, min_d
     n = own.count()
     content = F.log2(n / F.col("df_e"))
     bits = lambda df_t: F.log2(n * F.col("df_te") / (F.col(df_t) * F.col("df_e")))
-    near = around.select("doc_id", "th", "entity", F.explode(_terms(F.col("around"))).alias("term")).distinct()
-    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("df_te")).where(F.col("df_te") >= min_docs).join(entities, "entity")
+    if near is None:
+        # Whole documents: the terms of each one that holds an entity, outside its base spans' own letters only by chance of spelling.
+        holds = around.select(F.col("doc_id").alias("hold_id"), F.col("th").alias("hold_th"), "entity").distinct()
+        met = own.select("doc_id", "th", F.explode(_terms(F.col("text"))).alias("term")).distinct().join(holds, F.expr("doc_id <=> hold_id and th = hold_th")).select("doc_id", "th", "entity", "term")
+    else:
+        met = around.select("doc_id", "th", "entity", F.explode(_terms(F.col("around"))).alias("term")).distinct()
+    pairs = met.groupBy("term", "entity").agg(F.count("*").alias("df_te")).where(F.col("df_te") >= min_docs).join(entities, "entity")
     # A term is in as many documents at least as it stands near any entity: most pairs fail on that alone.
-    least = near.select("doc_id", "th", "term").distinct().groupBy("term").agg(F.count("*").alias("least"))
+    least = met.select("doc_id", "th", "term").distinct().groupBy("term").agg(F.count("*").alias("least"))
     pairs = pairs.join(least, "term").where((content > 0) & (bits("least") >= ratio * content))
     pairs = materialise(pairs, "pairs", "snappy")
     words = own.select(F.explode(_terms(F.col("text"))).alias("term")).join(_small(pairs.select("term").distinct()), "term", "left_semi")
@@ -131,11 +155,11 @@ def term_spans(own: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
     return free.select("doc_id", "th", "kind", "start", "stop", "certain")
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ratio: float = 0.9, min_docs: int = 3) -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ratio: float = 0.9, min_docs: int = 3, near: int | None = NEAR) -> DataFrame:
     """Columns doc_id, text, spans: array of struct(kind, start, stop, certain), by kind and start; one row for each row of ``docs``."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    base = materialise(base_spans(own), "base", "snappy")
-    terms = materialise(disclosing_terms(own, base, ratio, min_docs), "terms", "snappy")
+    base = materialise(base_spans(own, near), "base", "snappy")
+    terms = materialise(disclosing_terms(own, base, ratio, min_docs, near), "terms", "snappy")
     spans = base.select("doc_id", "th", "kind", "start", "stop", F.lit(False).alias("certain")).unionByName(term_spans(own, base, terms))
     lists = spans.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "stop", "certain"))).alias("spans"))
     lists = lists.select(F.col("doc_id").alias("span_id"), F.col("th").alias("span_th"), "spans")

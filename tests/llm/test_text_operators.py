@@ -209,6 +209,65 @@ def test_disclosure(make_docs):
     assert sure[0] == "the quick report by  [EMAIL] about weather number a"
 
 
+def brute_terms(rows, near, ratio, least):
+    """{doc_id: (start, stop) of the disclosing terms} of short ASCII texts."""
+    word, terms = re.compile("[A-Za-z]{4,}"), lambda t: {w.lower() for w in word.findall(t)}
+    base, met, df_e, df_t = {d: brute_pii(t) for d, t in rows}, {}, {}, {}
+    for d, t in rows:
+        masked = list(t)
+        for k, a, b in base[d]:
+            if k == 0:
+                masked[a:b] = ["0" if c.isalpha() else c for c in masked[a:b]]
+        for w in terms(t):
+            df_t.setdefault(w, set()).add(d)
+        for k, a, b in base[d]:
+            entity = (k, t[a:b].lower() if k < 2 else re.sub("[^0-9]", "", t[a:b]))
+            df_e.setdefault(entity, set()).add(d)
+            own = "".join(masked) if k == 0 else t
+            left, right = own[:a], own[b:]
+            if near is None:
+                left, right = t, ""
+            else:
+                left = left if len(left) <= near else re.sub("^[A-Za-z]+", "", left[-near:])
+                right = right if len(right) <= near else re.sub("[A-Za-z]+$", "", right[:near])
+            for w in terms(left + "\n" + right):
+                met.setdefault((w, entity), set()).add(d)
+    n, chosen = len(rows), set()
+    for (w, e), ds in met.items():
+        content = np.log2(n / len(df_e[e]))
+        if len(ds) >= least and content > 0 and np.log2(n * len(ds) / (len(df_t[w]) * len(df_e[e]))) >= ratio * content - 1e-12:
+            chosen.add(w)
+    free = lambda m, d: all(m.end() <= a or m.start() >= b for _, a, b in base[d])
+    return {d: sorted((m.start(), m.end()) for m in re.finditer("[A-Za-z]+", t) if m.group().lower() in chosen and free(m, d)) for d, t in rows}
+
+
+@pytest.mark.parametrize("near", [12, 80, None])
+def test_disclosure_brute(make_docs, near):
+    rng = np.random.default_rng(6)
+    names, mails = ["Zorblatt", "Quimby", "Anna", "Bo", "Wexford"], ["z1@ex.org", "anna@b.net", "q@c.d.com", "+49 30 1234567", "10.0.0.7"]
+    common = "report about weather number quick said that with from".split()
+    rows = []
+    for k in range(90):
+        text = []
+        for _ in range(int(rng.integers(1, 3))):
+            i = int(rng.integers(0, 25))
+            if i < 5:
+                text += [names[i], *rng.choice(common, int(rng.integers(0, 3))), mails[i], mails[int(rng.integers(0, 5))] if rng.random() < 0.1 else "so"]
+            text += [*rng.choice(common, int(rng.integers(0, 9)))]
+        rows.append((k, " ".join(text)))
+    rows += [(100 + k, f"Zorblatt a{k}@b.c jo@ex.org") for k in range(5)] + [(200, ""), (201, "@ Zorblatt")]
+    found = pii_disclosure.find(make_docs(rows), near=near, ratio=0.6).collect()
+    got = {r.doc_id: sorted((s.start, s.stop) for s in r.spans if s.kind == 4) for r in found}
+    want = brute_terms(rows, near, 0.6, 3)
+    assert got == want and sum(map(len, want.values())) > 5
+
+
+def test_terms_beyond_a_neighbour(make_docs):
+    rows = [(k, f"Zorblatt a{k}@b.c jo@ex.org") for k in range(5)] + [(10 + k, f"other words number {k}") for k in range(9)]
+    found = pii_disclosure.find(make_docs(rows)).collect()
+    assert {(r.doc_id, s.start, s.stop) for r in found for s in r.spans if s.kind == 4} == {(k, 0, 8) for k in range(5)}
+
+
 # Repeated bytes
 
 
