@@ -4,15 +4,16 @@ A text's subwords are the 1- to 4-grams of its lower-cased letters, with every r
 other characters as one blank. Each is hashed to a row of an embedding table; the rows
 are averaged and a linear layer with softmax gives the languages. Both layers are
 trained by stochastic gradient descent in numpy on a bounded sample of labelled
-documents (``sample`` rows, chosen by hash; the bound is a parameter). A part of that
-sample is held back: it gives the temperature of the softmax and the score under which
+documents (``sample`` rows, as many of each language as there are or as an equal share allows,
+chosen by hash among distinct texts; the bound is a parameter). Each step takes a random stretch
+of a whole text. A part of the sample is held back: it gives the temperature of the softmax and the score under which
 a document is rejected.
 
 At prediction time embedding and linear layer are multiplied into one table, so that a
 text costs one look-up for each subword. Whole texts are used, in blocks of whole texts.
 
 Defined results: null text or text without a letter gives ``und``, score 0, rejected;
-without any labelled document everything is ``und``; rows with a null doc_id are
+without any labelled document everything is ``und``; the empty string is a label like any other; rows with a null doc_id are
 held in (their remainder is null); other columns are not read.
 """
 
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ORDERS = (1, 2, 3, 4)
@@ -31,8 +32,8 @@ BUCKETS = 1 << 15
 DIMENSION = 16
 SAMPLE = 4000
 BLOCK_CHARS = 400_000
-#: Characters of one training text that are used at most, as a random stretch; predictions use whole texts.
-TRAIN_CHARS = 4000
+#: Parts of one language in which its sample is looked for.
+PARTS = 64
 
 
 def _letters() -> np.ndarray:
@@ -186,18 +187,24 @@ def fit(rows: list[tuple[str, str]], buckets: int = BUCKETS, dimension: int = DI
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, **options) -> Model:
-    """Fit on at most ``sample`` labelled rows, chosen by hash; texts over TRAIN_CHARS are cut on the executors to one stretch chosen by hash."""
-    own = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null and l <> ''")
-    h = F.xxhash64(F.lit("lang"), F.col("i"), F.col("t"))
-    own = own.withColumn("h", h)
-    room = F.greatest(F.length("t") - TRAIN_CHARS, F.lit(0)) + 1
-    cut = F.substring(F.col("t"), (F.pmod(F.col("h"), room) + 1).cast("int"), F.lit(TRAIN_CHARS))
-    # Only keys are sorted; the texts of the chosen rows follow.
-    last = own.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if last is None:
+    """Fit on at most ``sample`` labelled rows (one for each language, if there are more languages), whole texts.
+
+    Every language has its share, so a rare one is learnt at any size of the table; a text that is there
+    many times is one row of the sample.
+    """
+    own = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).where("t is not null and l is not null")
+    # Only hashes are grouped and ranked; the texts of the chosen rows follow.
+    hashed = own.select("l", F.xxhash64(F.lit("lang"), F.col("t")).alias("h")).distinct()
+    langs = hashed.agg(F.count_distinct("l")).first()[0]
+    if not langs:
         return fit([])
-    rows = own.where(F.col("h") <= last).select("h", cut.alias("t"), "l").limit(sample).collect()
-    return fit([(r.t, r.l) for r in sorted(rows)], **options)
+    share = max(1, sample // langs)
+    # The smallest hashes of a language are found in parts first, so that no task ranks a whole language.
+    part = F.row_number().over(Window.partitionBy("l", F.pmod("h", F.lit(PARTS))).orderBy("h"))
+    some = hashed.withColumn("r", part).where(F.col("r") <= share).withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h"))).where(F.col("r") <= share)
+    chosen = F.broadcast(some.select(F.col("l").alias("cl"), F.col("h").alias("ch")))
+    rows = own.withColumn("h", F.xxhash64(F.lit("lang"), F.col("t"))).join(chosen, F.expr("l = cl and h = ch")).groupBy("l", "h").agg(F.min("t").alias("t"))
+    return fit([(r.t, r.l) for r in sorted(rows.select("h", "l", "t").collect())], **options)
 
 
 def predictor(spark: SparkSession, model: Model):

@@ -313,7 +313,7 @@ def further_links(links_: DataFrame, found: DataFrame, sets: DataFrame, alike, s
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seeds: int = SEEDS, features: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Columns doc_id, component_id: documents linked by copies and by pairs whose sets of ``shingle``-word shingles are ``similarity`` alike.
+    """Columns doc_id, c1, c2 (hashes of the text), component_id: documents linked by copies and by pairs whose sets of ``shingle``-word shingles are ``similarity`` alike.
 
     One fingerprint of four- or five-word shingles at 4 bits misses most pairs near 0.8, so candidates
     come from ``seeds`` fingerprints of ``features``-word shingles, by the same ball hashing, and each is
@@ -379,7 +379,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     groups = components(further_links(links_, found, sets, alike, similarity))
     release(docs.sparkSession)
     of_rep = reps.join(groups, reps.rep == groups.node, "left").select("c1", "c2", F.coalesce("root", "rep").alias("component_id"))
-    return base.select("doc_id", "c1", "c2").join(of_rep, ["c1", "c2"]).select("doc_id", "component_id")
+    return base.select("doc_id", "c1", "c2").join(of_rep, ["c1", "c2"]).select("doc_id", "c1", "c2", "component_id")
 
 
 def hex_fingerprint(fp: str = "fp"):

@@ -1,6 +1,8 @@
 """Each stage of the pipeline on its own input, and the whole."""
 
 import corpus_pipeline as C
+from pyspark.sql import functions as F
+
 from quire.llm import simhash_ball, suffix_decontam
 from quire.llm.common import materialise
 
@@ -46,6 +48,25 @@ def test_planted(spark, sf_dir, documents):
     assert 10**6 + 1 not in {r.doc_id for r in stage["decontaminate"](spark, docs, sf_dir).collect()}
 
 
+def test_clashing_columns_and_missing_ids(spark, sf_dir, documents):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first().text
+    text = documents.where("doc_id = 1").first().text
+    rows = [(None, text, "en", "src0", 1), (None, "one of its kind " * 9, "en", "src0", 1), (None, "another of some kind " * 9, "en", None, 1), (None, item, "en", "src0", 1), (7 * 10**6, item + " x", "en", "src0", 1), (7 * 10**6, "nothing of that sort here " * 9, "en", "src0", 1)]
+    docs = documents.where("doc_id < 40").unionByName(spark.createDataFrame(rows + rows[1:2], documents.schema))
+    names = ["copies", "mix_key", "mix_h", "mix_id", "mix_copy", "h", "c1", "c2", "key", "bad", "id", "row", "col", "first", "component_id", "rejected", "rate"]
+    docs = docs.select("*", *[F.lit(7).alias(c) for c in names])
+    for name, f in C.STAGES[:-1]:
+        out = materialise(f(spark, docs, sf_dir), name)
+        assert out.columns == docs.columns and {tuple(r[c] for c in names) for r in out.collect()} == {(7,) * len(names)}
+        if name == "near_dedup":
+            assert sorted(r.text[:7] for r in out.where("doc_id is null").collect()) == sorted(["one of ", "another", item[:7]])
+        if name == "decontaminate":
+            assert sorted(r.text[:7] for r in out.where("doc_id is null").collect()) == ["another", "one of "]
+            assert [r.text[:7] for r in out.where("doc_id = 7000000").collect()] == ["nothing"]
+        docs = out
+    assert C.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
 def test_empty_and_whole(spark, sf_dir, documents):
     docs = documents.limit(0)
     for name, f in C.STAGES:
