@@ -1,13 +1,17 @@
 """URL filter by the ratio of two character language models.
 
 Two Markov models, of the URLs that the rules accept and of those that they
-reject, are smoothed by Witten-Bell: the order-2 estimate falls back on order 1,
-order 0 and equal chances, each the more the less its context has been seen. A URL's
+reject, are smoothed by Witten-Bell: the estimate for a character after the five before it
+falls back on that after the last four, and so on down to no context and to equal chances, each
+the more the less its context has been seen. A URL's
 score is the mean over its characters of the difference of log probabilities. The
 cut is calibrated on labelled URLs that the models have not seen.
 
-Characters are folded to 39 symbols, so a model has 39**3 rows at most, whatever the
-corpus; that is the bound that lets it be broadcast. DataFrame functions only.
+The models hold the counts of all windows of real characters (only A-Z are folded), so they
+grow with the URLs; nothing bounds them but the text. The difference of log probabilities is
+worked out once for each distinct window of the URLs to be judged, by joins with the counts
+of each order, and joined to the windows of each URL: by broadcast up to BROADCAST_ROWS
+windows, else by a salted shuffle. DataFrame functions only.
 
 Defined results: a null url or one without ``://`` has empty host and path; a url
 without characters scores 0; without labelled URLs of both kinds the verdict of the
@@ -17,6 +21,8 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +33,14 @@ RULES = (
     ("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"),
     ("block", "example.net", "/de/8"), ("block", "org", "/es/"),
 )
-#: Letters, one sign for all digits, signs of URLs; the last two stand for any other character and the start.
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0/.-_:?=&%#~^"
-SIZE = len(SYMBOLS)
+#: Characters of context that a model looks at, at most; the sign that stands before a URL.
+ORDER = 5
+START = "\x02"
+#: Distinct windows up to which their scores are broadcast, some 50 bytes each; parts that a window is dealt to beyond.
+BROADCAST_ROWS = 400_000
+SALTS = 16
+#: Characters of URLs that one task spreads out.
+TASK_CHARS = 8 << 20
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -47,53 +58,51 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return F.array_max(F.array_compact(F.array(*fits)))
 
 
-def symbols(url: Column) -> Column:
-    low = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), r"[0-9]", "0")
-    return F.regexp_replace(low, r"[^a-z0/.\-_:?=&%#]", "~")
-
-
 def places(urls: DataFrame) -> DataFrame:
-    """One row for each character of each (url): g, the number of the character with the two before it."""
-    s = F.concat(F.lit("^^"), symbols(F.col("url")))
-    n = F.length(s)
-    codes = F.transform(F.sequence(F.lit(1), n), lambda i: F.instr(F.lit(SYMBOLS), F.substr(s, i, F.lit(1))) - 1)
-    grams = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.get("codes", i) * SIZE * SIZE + F.get("codes", i + 1) * SIZE + F.get("codes", i + 2))
-    with_codes = urls.select("*", codes.alias("codes")).where(F.size("codes") > 2)
-    return with_codes.select(*urls.columns, F.explode(grams).alias("g"))
-
-
-def language_model(counts: DataFrame, n: str) -> DataFrame:
-    """(g, n) of one class -> (g, logp) for every possible g."""
-    spark = counts.sparkSession
-    c = counts.select("g", F.col(n).cast("double").alias("n")).where("n > 0")
-    c = c.select("n", F.floor(F.col("g") / SIZE**2).alias("a"), F.pmod(F.floor(F.col("g") / SIZE), F.lit(SIZE)).alias("b"), F.pmod("g", F.lit(SIZE)).alias("c"))
-    bi = c.groupBy("b", "c").agg(F.sum("n").alias("n_bc"))
-    uni = bi.groupBy("c").agg(F.sum("n_bc").alias("n_c"))
-    ab = c.groupBy("a", "b").agg(F.sum("n").alias("n_ab"), F.count("*").alias("t_ab"))
-    b = bi.groupBy("b").agg(F.sum("n_bc").alias("n_b"), F.count("*").alias("t_b"))
-    whole = Window.partitionBy(F.lit(0))
-    grid = spark.range(SIZE**3).select(F.col("id").alias("g"), F.floor(F.col("id") / SIZE**2).alias("a"), F.pmod(F.floor(F.col("id") / SIZE), F.lit(SIZE)).alias("b"), F.pmod("id", F.lit(SIZE)).alias("c"))
-    uni = spark.range(SIZE).select(F.col("id").alias("c")).join(uni, "c", "left").select("c", F.coalesce("n_c", F.lit(0.0)).alias("n_c"))
-    uni = uni.select("c", ((F.col("n_c") + 1) / (F.sum("n_c").over(whole) + SIZE)).alias("p0"))
-    full = grid.join(uni, "c").join(b, "b", "left").join(bi, ["b", "c"], "left").join(ab, ["a", "b"], "left").join(c, ["a", "b", "c"], "left")
-    zero = lambda x: F.coalesce(x, F.lit(0.0))
-    p1 = F.when(F.col("n_b") > 0, (zero("n_bc") + F.col("t_b") * F.col("p0")) / (F.col("n_b") + F.col("t_b"))).otherwise(F.col("p0"))
-    p2 = F.when(F.col("n_ab") > 0, (zero("n") + F.col("t_ab") * p1) / (F.col("n_ab") + F.col("t_ab"))).otherwise(p1)
-    return full.select("g", F.log(p2).alias("logp"))
-
-
-def ratio(labelled: DataFrame) -> DataFrame:
-    """(url, verdict) -> (g, llr): log probability among accepted URLs minus that among rejected ones."""
-    counts = materialise(
-        places(labelled).groupBy("g").agg(F.count(F.when(F.col("verdict") == "allow", 1)).alias("allow"), F.count(F.when(F.col("verdict") == "block", 1)).alias("block")), "grams",
-    )
-    good, bad = language_model(counts, "allow"), language_model(counts, "block").withColumnRenamed("logp", "bad")
-    return materialise(good.join(bad, "g").select("g", (F.col("logp") - F.col("bad")).alias("llr")), "ratio")
-
-
-def scores(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """(url) -> (url, score); the model's size is bounded by the number of symbols."""
-    return places(urls).join(F.broadcast(model), "g").groupBy("url").agg(F.avg("llr").alias("score"))
+    """One row for each character of each (url): g, the character with the ORDER ones before it."""
+    chars = F.split(F.concat(F.lit(START * ORDER), ascii_lower(F.coalesce("url", F.lit("")))), "")
+    grams = F.transform(F.sequence(F.lit(0), F.size("chars") - (ORDER + 1)), lambda i: F.concat(*[F.get("chars", i + j) for j in range(ORDER + 1)]))
+    return urls.select("*", chars.alias("chars")).where(F.size("chars") > ORDER).select(*urls.columns, F.explode(grams).alias("g"))
+
+
+def counts(labelled: DataFrame) -> DataFrame:
+    """(url, verdict) -> (g, allow, block): how often each window stands in URLs of either kind."""
+    kind = lambda v: F.count(F.when(F.col("verdict") == v, 1)).cast("double").alias(v)
+    return materialise(places(labelled).groupBy("g").agg(kind("allow"), kind("block")), "grams")
+
+
+def ratios(windows: DataFrame, grams: DataFrame) -> DataFrame:
+    """(g) -> (g, llr): log probability of the window's last character among accepted URLs minus that among rejected ones."""
+    kinds = ("allow", "block")
+    total = [F.sum(k).alias(k) for k in kinds]
+    seen = [F.count(F.when(F.col(k) > 0, 1)).cast("double").alias(f"t_{k}") for k in kinds]
+    order = lambda k: grams.groupBy(F.right("g", F.lit(k + 1)).alias("gram")).agg(*total)
+    flat = order(0)
+    letters = flat.agg(F.count("*")).first()[0] + 1
+    out = windows.withColumns({f"p_{v}": F.lit(1.0 / letters) for v in kinds})
+    for k in range(ORDER + 1):
+        own = order(k)
+        context = own.groupBy(F.left("gram", F.lit(k)).alias("context")).agg(*[F.sum(v).alias(f"n_{v}") for v in kinds], *seen)
+        out = out.withColumns({"gram": F.right("g", F.lit(k + 1)), "context": F.left(F.right("g", F.lit(k + 1)), F.lit(k))})
+        out = out.join(own, "gram", "left").join(context, "context", "left")
+        step = lambda v: F.when(F.col(f"n_{v}") > 0, (F.coalesce(v, F.lit(0.0)) + F.col(f"t_{v}") * F.col(f"p_{v}")) / (F.col(f"n_{v}") + F.col(f"t_{v}"))).otherwise(F.col(f"p_{v}"))
+        out = out.select("g", *[step(v).alias(f"p_{v}") for v in kinds])
+        if k % 2:
+            out = materialise(out, "windows")
+    return materialise(out.select("g", (F.log("p_allow") - F.log("p_block")).alias("llr")), "ratio")
+
+
+def scores(urls: DataFrame, grams: DataFrame) -> DataFrame:
+    """(url) -> (url, score)."""
+    all_ = places(urls)
+    llr = ratios(all_.select("g").distinct(), grams)
+    if llr.count() <= BROADCAST_ROWS:
+        both = all_.join(F.broadcast(llr), "g")
+    else:
+        # Every URL has some windows in common with most others.
+        salted = llr.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+        both = all_.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS))).join(salted, ["g", "salt"])
+    return both.groupBy("url").agg(F.avg("llr").alias("score"))
 
 
 def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: tuple = RULES, calibrate: int = 5) -> DataFrame:
@@ -101,16 +110,19 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules: t
     host, path = host_path(F.col("url"))
     own = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")).withColumns({"host": host, "path": path})
     own = materialise(own.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)), "pages")
-    distinct = own.where("url is not null").groupBy("url").agg(F.first("r.verdict").alias("verdict"))
+    n = max(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil((own.agg(F.sum(F.length("url"))).first()[0] or 0) / TASK_CHARS))
+    # A number of parts that stays: the small table grows by all its windows.
+    distinct = materialise(own.where("url is not null").select("url", "r.verdict").repartition(n, "url").groupBy("url").agg(F.first("verdict").alias("verdict")), "urls")
     aside = F.pmod(F.xxhash64(F.lit("cut"), F.col("url")), F.lit(calibrate)) == 0
-    model = ratio(distinct.where(F.col("verdict").isNotNull() & ~aside))
-    scored = materialise(scores(distinct.select("url"), model), "scores")
+    grams = counts(distinct.where(F.col("verdict").isNotNull() & ~aside))
+    scored = materialise(scores(distinct.select("url"), grams), "scores")
     # Shares of accepted and rejected URLs at each score, over at most 4001 steps.
     step = F.greatest(F.lit(-2000), F.least(F.lit(2000), F.floor(F.col("score") * 200)))
     bins = distinct.where(F.col("verdict").isNotNull() & aside).join(scored, "url").groupBy(step.alias("step")).agg(F.count(F.when(F.col("verdict") == "allow", 1)).alias("a"), F.count(F.when(F.col("verdict") == "block", 1)).alias("b"))
     whole = Window.partitionBy(F.lit(0))
     below = whole.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    gain = F.coalesce(F.sum("b").over(below), F.lit(0)) / F.sum("b").over(whole) - F.coalesce(F.sum("a").over(below), F.lit(0)) / F.sum("a").over(whole)
+    share = lambda x: F.coalesce(F.try_divide(F.sum(x).over(below), F.sum(x).over(whole)), F.lit(0.0))
+    gain = share("b") - share("a")
     best = bins.where("step is not null").select("step", gain.alias("gain")).agg(F.max_by("step", F.struct("gain", -F.col("step")))).first()[0]
     kinds = distinct.agg(F.count(F.when(F.col("verdict") == "allow", 1)), F.count(F.when(F.col("verdict") == "block", 1))).first()
     cut = best / 200 if best is not None and min(kinds) else float("-inf")

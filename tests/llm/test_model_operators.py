@@ -213,11 +213,49 @@ def test_urls(spark):
     assert set(url_markov.judge(df.where("page_id >= 100")).where("rule is null").toPandas().verdict) <= {"allow", "block"}
 
 
-def test_language_model(spark):
-    counts = url_markov.places(spark.createDataFrame([("ab",), ("ab",), ("ac",)], "url string")).groupBy("g").agg(F.count("*").alias("n"))
-    p = url_markov.language_model(counts, "n").toPandas()
-    p["ctx"] = p.g // url_markov.SIZE
-    assert len(p) == url_markov.SIZE**3 and np.allclose(np.exp(p.logp).groupby(p.ctx).sum(), 1)
+def brute_score(url, train, order=5):
+    """Mean difference of log probabilities of (url, verdict) models, by Witten-Bell down from ``order`` characters of context."""
+    fold = lambda u: "\x02" * order + "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in u)
+    letters = {c for u, _ in train for c in fold(u)[order:]}
+    n = {v: {} for v in ("allow", "block")}
+    for u, v in train:
+        x = fold(u)
+        for i in range(order, len(x)):
+            for k in range(order + 1):
+                n[v].setdefault(x[i - k : i], {}).setdefault(x[i], 0)
+                n[v][x[i - k : i]][x[i]] += 1
+
+    def p(v, x, i):
+        out = 1 / (len(letters) + 1)
+        for k in range(order + 1):
+            seen = n[v].get(x[i - k : i], {})
+            if seen:
+                out = (seen.get(x[i], 0) + len(seen) * out) / (sum(seen.values()) + len(seen))
+        return out
+
+    x = fold(url)
+    return float(np.mean([np.log(p("allow", x, i)) - np.log(p("block", x, i)) for i in range(order, len(x))])) if url else 0.0
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_url_scores(spark, sf_dir, monkeypatch, most):
+    monkeypatch.setattr(url_markov, "BROADCAST_ROWS", most)
+    urls = [r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").limit(150).collect()] + [f"http://a{k}.example.com/en/7{k * k}" for k in range(30)] + ["", "x", "http://É.COM/en/😀", "http://a.com/en/" + "q" * 3000]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    got = url_markov.judge(df).join(df, "page_id").withColumn("aside", F.pmod(F.xxhash64(F.lit("cut"), "url"), F.lit(5)) == 0).toPandas()
+    known = {r.url: (r.verdict if isinstance(r.rule, str) else None, r.aside) for r in got.itertuples() if isinstance(r.url, str)}
+    train = [(u, v) for u, (v, aside) in known.items() if v and not aside]
+    want = {u: brute_score(u, train) for u in known}
+    assert {v for _, v in train} == {"allow", "block"}
+    assert all(abs(r.score - want.get(r.url, 0.0)) < 1e-9 for r in got.itertuples())
+    step = {u: max(-2000, min(2000, int(np.floor(want[u] * 200)))) for u in known}
+    held = [(step[u], v) for u, (v, aside) in known.items() if v and aside]
+    n = {v: sum(w == v for _, w in held) for v in ("allow", "block")}
+    below = lambda t, kind: sum(s < t for s, v in held if v == kind) / max(1, n[kind])
+    cut = max({s for s, _ in held}, key=lambda t: (round(below(t, "block") - below(t, "allow"), 12), -t)) / 200
+    assert (got.cut == cut).all()
+    judged = [r for r in got.itertuples() if not isinstance(r.rule, str)]
+    assert judged and all(r.verdict == ("allow" if r.score >= r.cut else "block") for r in judged)
 
 
 # Mixing
