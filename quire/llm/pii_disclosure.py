@@ -49,18 +49,26 @@ def _around(pairs: Column, gaps: Column, i: Column, near: int) -> tuple[Column,
     return cut(left, F.right(left, F.lit(near)), r"^\p{L}+"), cut(right, F.left(right, F.lit(near)), r"\p{L}+$")
 
 
+def _bind(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _matches(kind: int, text: Column, pattern: str, when: Column, near: int | None) -> Column:
     """Array of struct(kind, place, gap: characters since the last match, value, left, right: text around) where ``when`` holds."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # Letters of neighbouring matches are no words of the text.
-    masked = F.transform(found, lambda m: F.regexp_replace(m, r"\p{L}", "0")) if kind == 0 else found
-    pairs = F.arrays_zip(masked.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("l"), F.slice(gaps, F.lit(2), F.size(found)).alias("r"), found.alias("v"))
+    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+
+    def pairs(s: Column) -> Column:
+        n = F.size(s["found"])
+        # Letters of neighbouring matches are no words of the text.
+        masked = F.transform(s["found"], lambda m: F.regexp_replace(m, r"\p{L}", "0")) if kind == 0 else s["found"]
+        return F.struct(s["gaps"].alias("gaps"), F.arrays_zip(masked.alias("m"), F.slice(s["gaps"], F.lit(1), n).alias("l"), F.slice(s["gaps"], F.lit(2), n).alias("r"), s["found"].alias("v")).alias("pairs"))
 
-    def one(x: Column, i: Column) -> Column:
-        left, right = (F.lit(""), F.lit("")) if near is None else _around(pairs, gaps, i, near)
+    def one(p: Column, x: Column, i: Column) -> Column:
+        left, right = (F.lit(""), F.lit("")) if near is None else _around(p["pairs"], p["gaps"], i, near)
         return F.struct(F.lit(kind).alias("kind"), i.alias("place"), F.length(x["l"]).alias("gap"), x["v"].alias("value"), left.alias("left"), right.alias("right"))
 
-    return F.when(when, F.transform(pairs, one))
+    return F.when(when, _bind(parts, lambda s: _bind(pairs(s), lambda p: F.transform(p["pairs"], lambda x, i: one(p, x, i)))))
 
 
 def base_spans(own: DataFrame, near: int | None = NEAR) -> DataFrame:
