@@ -169,6 +169,13 @@ def _places(c: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]
     return np.lexsort((c["pos"], c["th"], c["doc"], c["phrase"], c["trigger"])), c
 
 
+def _present(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its places, in order) of the buckets that occur, so that the work does not grow with their number."""
+    order = np.argsort(bucket, kind="stable")
+    own, first = np.unique(bucket[order], return_index=True)
+    yield from zip(own.tolist(), np.split(order, first[1:]) if len(own) else [], strict=True)
+
+
 def parse(own: DataFrame, buckets: int) -> DataFrame:
     """(bucket, firsts, again): packed triggers, by trigger; those whose phrase stands earlier in the same block, by document."""
 
@@ -182,13 +189,11 @@ def parse(own: DataFrame, buckets: int) -> DataFrame:
             again[order] = known
             bucket = ((c["trigger"] >> U(33)) % U(buckets)).astype(np.int64)
             bucket[again] = (mix(c["doc"].astype(U))[again] >> U(33)) % U(buckets)
-            order = np.lexsort((c["pos"], c["doc"], bucket))
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            order = np.lexsort((c["pos"], c["doc"]))
             rows = []
-            for b in range(buckets):
-                at = order[edges[b] : edges[b + 1]]
-                if len(at):
-                    rows.append((b, pack(c, at[~again[at]]), pack(c, at[again[at]], PARTS[2:])))
+            for b, places in _present(bucket[order]):
+                at = order[places]
+                rows.append((b, pack(c, at[~again[at]]), pack(c, at[again[at]], PARTS[2:])))
             yield pd.DataFrame(rows, columns=["bucket", "firsts", "again"])
 
     return own.select("doc", "th", "text").mapInPandas(run, "bucket long, firsts binary, again binary")
@@ -248,18 +253,16 @@ def fetch(own: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
         out = []
         few = np.flatnonzero(kind == 1)
         bucket = ((c["trigger"][few] >> U(33)) % U(buckets)).astype(np.int64)
-        for b in np.unique(bucket):
-            at = few[bucket == b]
-            out.append((int(b), pack(c, at, _PHRASE), raw[at].tobytes(), b""))
+        for b, places in _present(bucket):
+            at = few[places]
+            out.append((b, pack(c, at, _PHRASE), raw[at].tobytes(), b""))
         many = np.flatnonzero(kind == 2)
         if len(many):
             own = {k: v[many] for k, v in c.items()}
             row, before, key = _strings(raw[many], own)
             s = {"key": key, "doc": own["doc"][row], "th": own["th"][row], "pos": own["pos"][row], "left": before}
             bucket = ((key >> U(33)) % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            out += [(b, b"", b"", pack(s, order[edges[b] : edges[b + 1]], _STRING)) for b in range(buckets) if edges[b] < edges[b + 1]]
+            out += [(b, b"", b"", pack(s, places, _STRING)) for b, places in _present(bucket)]
         return pd.DataFrame(out, columns=["bucket", "phrases", "raw", "strings"])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
