@@ -122,6 +122,16 @@ def symbol_remap(text: Column, font: Column) -> Column:
     return F.when(font == "Symbol", F.translate(text, source, SYMBOL_TO + "".join(SYMBOL_SIGNS.values()))).otherwise(text)
 
 
+def is_bold(flags: Column) -> Column:
+    """Bit 4 of a span's flags."""
+    return F.getbit(flags, F.lit(4)) == 1
+
+
+def is_italic(flags: Column) -> Column:
+    """Bit 1 of a span's flags."""
+    return F.getbit(flags, F.lit(1)) == 1
+
+
 def question_number(text: Column) -> Column:
     """The bare number of one or two digits that a text is, else null."""
     t = strip(text)
@@ -172,3 +182,13 @@ def failure_line(line: Column, prefix: str) -> Column:
 
 def or_default(col: Column, default: str) -> Column:
     return F.coalesce(F.nullif(col, F.lit("")), F.lit(default))
+
+
+def json_of(col: Column) -> Column:
+    """A box, list of cells or other nested value as JSON with all its fields, null staying null."""
+    return F.to_json(col, {"ignoreNullFields": "false"})
+
+
+def json_to(text: Column, kind: str) -> Column:
+    """The value of type ``kind`` that a JSON text holds; null for null, empty and unreadable texts."""
+    return F.when(F.trim(text) != "", F.from_json(text, kind))

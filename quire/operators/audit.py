@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -80,6 +80,28 @@ def verdict(report: DataFrame, strict: bool = False) -> bool:
     return bad.limit(1).count() == 0
 
 
+def shown(report: DataFrame, limit: int | None = 20, by: str = "category", order: tuple[str, ...] = ("key", "detail")) -> DataFrame:
+    """(by, place, line): the first ``limit`` entries of each category and, where there are more, a line that says how many; all without a limit.
+
+    Spark keeps ``limit`` rows of a category in each task before it shuffles; the totals are counts that are combined before.
+    """
+    line = F.concat_ws(" ", *order)
+    w = Window.partitionBy(by).orderBy(*order)
+    rows = report.withColumn("_place", F.row_number().over(w))
+    if limit is not None:
+        rows = rows.where(F.col("_place") <= limit)
+    out = rows.select(by, F.col("_place").cast("long").alias("place"), line.alias("line"))
+    if limit is None:
+        return out
+    more = report.groupBy(by).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    return out.unionByName(more.select(by, F.lit(limit + 1).cast("long").alias("place"), F.concat(F.lit("... and "), (F.col("_n") - limit).cast("string"), F.lit(" more")).alias("line")))
+
+
+def tally(rows: DataFrame, status: str) -> DataFrame:
+    """(status, n)."""
+    return rows.groupBy(status).agg(F.count("*").alias("n"))
+
+
 def papers_failed(live: DataFrame, quarantine: DataFrame, key: str = "paper") -> DataFrame:
     """Papers still in the batch after a phase."""
     return live.join(quarantine.select(key).distinct(), key, "left_anti")

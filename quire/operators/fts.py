@@ -45,15 +45,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(fold(text), F.lit(r"[\p{L}\p{N}\p{Co}]+"), F.lit(0))
 
 
-def tokens(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, pos, term): the index; write it partitioned by ``term_shard`` to prune by term."""
-    return docs.select(key, F.posexplode(words(F.col(text))).alias("pos", "term"))
-
-
-def lengths(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    return docs.select(key, F.size(words(F.coalesce(F.col(text), F.lit("")))).alias("dl"))
-
-
 @dataclass
 class Leaf:
     terms: list[str]
@@ -160,32 +151,50 @@ def _hit(leaf: Leaf, k: int, term: Column) -> list[tuple[int, int, Column]]:
     return out
 
 
-def search(index: DataFrame, sizes: DataFrame, query: str, key: str, limit: int | None = 20) -> DataFrame:
-    """(key, score): matching documents, best first; the score is negative, lower is better.
+def postings(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """(keys, term, places, dl): a row for each word of each document, with its places and the document's length."""
+    split = docs.select(*keys, words(F.coalesce(F.col(text), F.lit(""))).alias("_w"))
+    each = split.select(*keys, F.size("_w").alias("dl"), F.posexplode("_w").alias("_pos", "term"))
+    return each.groupBy(*keys, "dl", "term").agg(F.array_sort(F.collect_list("_pos")).alias("places")).select(*keys, "term", "places", "dl")
+
+
+def terms_of(leaves: list[Leaf]) -> list[str] | None:
+    """The words that a query looks up; None if it has a prefix."""
+    if any(leaf.prefix for leaf in leaves):
+        return None
+    return sorted({t for leaf in leaves for t in leaf.terms})
+
+
+def search(index: DataFrame, query: str, keys: list[str], n: int, total: int, limit: int | None = 20) -> DataFrame:
+    """(keys, score): matching documents, best first; the score is negative, lower is better.
 
-    One pass over the tokens of the query's words, one aggregate for phrases, one by document.
-    The two corpus numbers are all that comes to the driver.
+    ``index`` has the postings of the query's words at least, ``n`` and ``total`` are the number of documents and of their
+    words. Single words are counted by their postings; places are compared only for phrases. The numbers of documents that
+    match each part of the query are all that comes to the driver.
     """
     tree, leaves = parse(query)
     term = F.col("term")
     tests = [h for k, leaf in enumerate(leaves) for h in _hit(leaf, k, term)]
-    spark = index.sparkSession
     if not tests:
-        return spark.createDataFrame([], f"{key} {dict(index.dtypes)[key]}, score double")
+        return index.select(*keys, F.lit(0.0).alias("score")).limit(0)
     wanted = tests[0][2]
     for t in tests[1:]:
         wanted = wanted | t[2]
     each = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("leaf"), F.lit(off).alias("off"))) for k, off, c in tests]))
-    places = index.where(wanted).select(key, "pos", F.explode(each).alias("h")).select(key, F.col("h.leaf").alias("leaf"), (F.col("pos") - F.col("h.off")).alias("at"))
-    need = F.element_at(F.array(*[F.lit(len(leaf.terms)) for leaf in leaves]), F.col("leaf") + 1)
-    starts = places.groupBy(key, "leaf", "at").agg(F.count("*").alias("n")).where(F.col("n") == need)
+    found = index.where(wanted).select(*keys, "places", "dl", F.explode(each).alias("h")).select(*keys, "places", "dl", "h.*")
     first = [k for k, leaf in enumerate(leaves) if leaf.first]
-    if first:
-        starts = starts.where(~F.col("leaf").isin(first) | (F.col("at") == 0))
-    hits = starts.groupBy(key, "leaf").agg(F.count("*").alias("f"))
-    n, avg = sizes.agg(F.count("*"), F.avg("dl")).first()
+    plain = [k for k, leaf in enumerate(leaves) if len(leaf.terms) == 1 and not leaf.first]
+    hits = found.where(F.col("leaf").isin(plain)).select(*keys, "leaf", F.size("places").alias("f"), "dl")
+    if len(plain) < len(leaves):
+        need = F.element_at(F.array(*[F.lit(len(leaf.terms)) for leaf in leaves]), F.col("leaf") + 1)
+        places = found.where(~F.col("leaf").isin(plain)).select(*keys, "leaf", "dl", "off", F.explode("places").alias("pos"))
+        starts = places.groupBy(*keys, "leaf", (F.col("pos") - F.col("off")).alias("at")).agg(F.count("*").alias("n"), F.max("dl").alias("dl")).where(F.col("n") == need)
+        if first:
+            starts = starts.where(~F.col("leaf").isin(first) | (F.col("at") == 0))
+        hits = hits.unionByName(starts.select(*keys, "leaf", F.lit(1).alias("f"), "dl"))
+    hits = hits.groupBy(*keys, "leaf").agg(F.sum("f").alias("f"), F.max("dl").alias("dl"))
     df = {r.leaf: r.n for r in hits.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    flat = hits.groupBy(key).agg(*[F.max(F.when(F.col("leaf") == k, F.col("f"))).alias(f"f{k}") for k in range(len(leaves))])
+    flat = hits.groupBy(*keys).agg(F.max("dl").alias("dl"), *[F.max(F.when(F.col("leaf") == k, F.col("f"))).alias(f"f{k}") for k in range(len(leaves))])
 
     def holds(t) -> Column:
         if isinstance(t, int):
@@ -193,11 +202,11 @@ def search(index: DataFrame, sizes: DataFrame, query: str, key: str, limit: int
         a, b = holds(t[1]), holds(t[2])
         return a & b if t[0] == "and" else a | b if t[0] == "or" else a & ~b
 
-    both = flat.where(holds(tree)).join(sizes, key)
-    total = F.lit(0.0)
+    avg = total / n if n else 0
+    score = F.lit(0.0)
     for k in range(len(leaves)):
         idf = F.greatest(F.lit(LEAST_IDF), F.log(F.lit((n - df.get(k, 0) + 0.5) / (df.get(k, 0) + 0.5))))
         f = F.coalesce(F.col(f"f{k}"), F.lit(0))
-        total = total + idf * (f * (K1 + 1)) / (f + K1 * (1 - B + B * F.col("dl") / F.lit(float(avg or 1))))
-    out = both.select(key, (-total).alias("score"))
-    return out if limit is None else out.orderBy("score", key).limit(limit)
+        score = score + idf * (f * (K1 + 1)) / (f + K1 * (1 - B + B * F.col("dl") / F.lit(float(avg or 1))))
+    out = flat.where(holds(tree)).select(*keys, (-score).alias("score"))
+    return out if limit is None else out.orderBy("score", *keys).limit(limit)

@@ -45,13 +45,14 @@ def split_formulas(options: DataFrame, formulas: DataFrame, keys: list[str], box
     return tied.unionByName(loose)
 
 
-def with_ids(known: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """``known`` (id, name) with new names added under the next ids, in name order.
+def with_ids(known: DataFrame, names: DataFrame, id_col: str, name_col: str, top: int | None = None) -> DataFrame:
+    """``known`` (id, name) with new names added under the next ids, in name order. ``top`` is the highest id given so far, if ``known`` need not have it.
 
     Only names that are new are numbered, in ranges, so the whole table is never sorted in one task.
     """
     new = names.select(name_col).where(F.col(name_col).isNotNull()).distinct().join(known, name_col, "left_anti")
-    top = known.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+    if top is None:
+        top = known.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
     parts = new.sort(name_col).withColumn("_part", F.spark_partition_id())
     counts = parts.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ranked = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(name_col))).join(F.broadcast(counts.select("_part", "_before")), "_part")

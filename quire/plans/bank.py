@@ -1,16 +1,12 @@
 """The bank: normalised tables of papers, questions and their parts, with retrieval.
 
 Tables are keyed by (paper_code, question); ``paper_id`` keeps the order of loading, by which
-results are sorted, and the parts of a question keep their place in ``ord``. A stored bank is a
-folder of Parquet tables; saving writes a new snapshot folder and then, under a name never used
-before, a numbered pointer to it. The pointer with the highest number counts, so readers never see
-half a load and never find no bank where there was one.
+results are sorted, and the parts of a question keep their place in ``ord``. A bank is a set of DataFrames; it is stored,
+kept up and indexed by ``quire.plans.store``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +35,52 @@ class BankChangedError(RuntimeError):
     """Another writer has saved the bank in the meantime."""
 
 
+def folder(spark: SparkSession, path: str):
+    """The path's file system, as Spark takes it, and the path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def newest(built: DataFrame) -> DataFrame:
+    """One row of a batch for each question.
+
+    Of a key that the batch has twice, the row with the higher ``load_seq`` counts, if there is such a column; of equal ones
+    the one whose content comes last as JSON, so that all tables take the same row at every run.
+    """
+    own = built.withColumnRenamed("paper", "paper_code")
+    if "load_seq" not in own.columns:
+        own = own.withColumn("load_seq", F.lit(0))
+    return merge.latest(own.withColumn("_content", F.to_json(F.struct(*own.columns))), KEY, tie=["_content"]).drop("_content")
+
+
+def parts_of(spark: SparkSession, own: DataFrame, papers: DataFrame) -> dict[str, DataFrame]:
+    """The tables, but for papers, of a batch with one row for each question; ``papers`` are the ids of its papers."""
+    rows = own.join(papers, "paper_code")
+    new = {"questions": rows.select("paper_code", "paper_id", "question", "page", "text", "marks")}
+    for name, col in (("images", "images"), ("question_images", "question_images"), ("tables", "tables")):
+        if col in own.columns:
+            new[name] = own.select(*KEY, F.posexplode(col).alias("ord", "e")).select(*KEY, "ord", "e.*")
+    if "options" in own.columns:
+        opts = own.select(*KEY, F.posexplode("options").alias("ord", "o"))
+        new["options"] = opts.select(*KEY, "ord", "o.label", "o.text")
+    if "formulas" in own.columns:
+        loose = own.select(*KEY, F.posexplode("formulas").alias("ord", "f")).select(*KEY, "ord", "f.*")
+        tied = None
+        if "options" in own.columns and "formulas" in own.schema["options"].dataType.elementType.names:
+            tied = opts.select(*KEY, "o.label", F.posexplode("o.formulas").alias("ord", "f")).select(*KEY, "ord", "label", "f.*")
+        if tied is None:
+            tied = loose.limit(0).withColumn("label", F.lit(None).cast("string"))
+        new["formulas"] = merge.split_formulas(tied, loose, KEY)
+    if "topics" in own.columns:
+        new["question_topics"] = own.select(*KEY, F.posexplode("topics").alias("rank", "topic")).select(*KEY, "topic", (F.col("rank") + 1).alias("rank")).dropDuplicates([*KEY, "topic"])
+    return Bank.of(spark, **new).t
+
+
 class Bank:
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
-        self.spark, self.t = spark, tables
+    """``index`` is the stored search index of the tables, if there is one."""
+
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], index=None):
+        self.spark, self.t, self.index = spark, tables, index
 
     @classmethod
     def of(cls, spark: SparkSession, **given: DataFrame) -> Bank:
@@ -59,45 +98,18 @@ class Bank:
 
     # Storage
 
-    def save(self, path: str) -> str:
-        """Write a snapshot; returns its name."""
-        name = f"snapshot-{uuid.uuid4().hex}"
-        for table, df in self.t.items():
-            df.write.parquet(f"{path}/{name}/{table}")
-        known = self._pointers(self.spark, path)
-        number = int(known[-1].rsplit("-", 1)[1]) + 1 if known else 0
-        fs, where = self._folder(self.spark, path)
-        make = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        # Two writers of one number: the second one's rename fails, and it must load and try again.
-        temp = make(f"{path}/.{name}")
-        out = fs.create(temp, False)
-        out.write(bytearray(name.encode()))
-        out.close()
-        if fs.exists(make(f"{path}/current-{number:012d}")) or not fs.rename(temp, make(f"{path}/current-{number:012d}")):
-            raise BankChangedError(f"another writer has changed the bank at {path}")
-        return name
+    def save(self, path: str) -> int:
+        """Store the bank in place of what is at the path; returns the number of the new state."""
+        from quire.plans.store import BankStore
 
-    @staticmethod
-    def _folder(spark: SparkSession, path: str):
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-    @classmethod
-    def _pointers(cls, spark: SparkSession, path: str) -> list[str]:
-        """Paths of the numbered pointers, the current one last; none if there is no bank."""
-        fs, where = cls._folder(spark, path)
-        if not fs.exists(where):
-            return []
-        return sorted(str(f.getPath()) for f in fs.listStatus(where) if f.getPath().getName().startswith("current-"))
+        return BankStore(self.spark, path).replace(self)["number"]
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Bank:
-        """The current snapshot. Only where there is none is it missing; a store that cannot be read raises its own error."""
-        known = cls._pointers(spark, path)
-        if not known:
-            raise BankMissingError(f"no bank at {path}")
-        name = spark.read.text(known[-1], wholetext=True).first()[0]
-        return cls(spark, {t: spark.read.schema(ddl).parquet(f"{path}/{name}/{t}") for t, ddl in SCHEMAS.items()})
+        """The current state. Only where there is none is it missing; a store that cannot be read raises its own error."""
+        from quire.plans.store import BankStore
+
+        return BankStore(spark, path).snapshot()
 
     def check(self) -> None:
         """Raise if the bank has no papers or no questions."""
@@ -107,40 +119,15 @@ class Bank:
             raise BankMissingError("the bank has no questions")
 
     def upsert(self, built: DataFrame) -> Bank:
-        """Load classified questions (paper, question, page, marks, text and lists of parts).
+        """Load classified questions (paper, question, page, marks, text and lists of parts; see ``newest``).
 
-        A question that is there is replaced with all its parts; others stay. Of a key that the batch
-        has twice, the row with the higher ``load_seq`` counts, if there is such a column; of equal ones
-        the one whose content comes last as JSON, so that all tables take the same row at every run.
+        A question that is there is replaced with all its parts; others stay.
         """
-        own = built.withColumnRenamed("paper", "paper_code")
-        if "load_seq" not in own.columns:
-            own = own.withColumn("load_seq", F.lit(0))
-        own = merge.latest(own.withColumn("_content", F.to_json(F.struct(*own.columns))), KEY, tie=["_content"]).drop("_content")
+        own = newest(built)
         papers = merge.with_ids(self.t["papers"].select("paper_id", "paper_code"), own.select("paper_code"), "paper_id", "paper_code").select("paper_code", "paper_id")
-        rows = own.join(papers, "paper_code")
-        new = {"questions": rows.select("paper_code", "paper_id", "question", "page", "text", "marks")}
-        for name, col in (("images", "images"), ("question_images", "question_images"), ("tables", "tables")):
-            if col in own.columns:
-                new[name] = own.select(*KEY, F.posexplode(col).alias("ord", "e")).select(*KEY, "ord", "e.*")
-        if "options" in own.columns:
-            opts = own.select(*KEY, F.posexplode("options").alias("ord", "o"))
-            new["options"] = opts.select(*KEY, "ord", "o.label", "o.text")
-        if "formulas" in own.columns:
-            loose = own.select(*KEY, F.posexplode("formulas").alias("ord", "f")).select(*KEY, "ord", "f.*")
-            tied = None
-            if "options" in own.columns and "formulas" in own.schema["options"].dataType.elementType.names:
-                tied = opts.select(*KEY, "o.label", F.posexplode("o.formulas").alias("ord", "f")).select(*KEY, "ord", "label", "f.*")
-            if tied is None:
-                tied = loose.limit(0).withColumn("label", F.lit(None).cast("string"))
-            new["formulas"] = merge.split_formulas(tied, loose, KEY)
-        if "topics" in own.columns:
-            new["question_topics"] = own.select(*KEY, F.posexplode("topics").alias("rank", "topic")).select(*KEY, "topic", (F.col("rank") + 1).alias("rank")).dropDuplicates([*KEY, "topic"])
-        batch = Bank.of(self.spark, **new)
-        out = {"papers": papers, "questions": merge.replace_children(self.t["questions"], batch.t["questions"], own, KEY)}
-        for name in CHILDREN:
-            out[name] = merge.replace_children(self.t[name], batch.t[name], own, KEY)
-        return Bank.of(self.spark, **out)
+        batch = parts_of(self.spark, own, papers)
+        out = {name: merge.replace_children(self.t[name], batch[name], own, KEY) for name in ("questions", *CHILDREN)}
+        return Bank.of(self.spark, papers=papers, **out)
 
     @classmethod
     def merged(cls, spark: SparkSession, sources: list[DataFrame]) -> Bank:
@@ -201,10 +188,18 @@ class Bank:
     def random(self, count: int = 1, seed: int | None = None, **filters) -> DataFrame:
         return self.hydrate(self._filtered(**filters).orderBy(F.rand(seed)).limit(count))
 
+    def hits(self, text: str, limit: int | None = 20) -> DataFrame:
+        """(paper_code, question, score) of a full-text search, from the stored index if there is one."""
+        terms = fts.terms_of(fts.parse(text)[1])
+        if self.index:
+            return fts.search(self.index.postings(terms), text, KEY, self.index.docs, self.index.words, limit)
+        q = self.t["questions"]
+        n, total = q.agg(F.count("*"), F.sum(F.size(fts.words(F.coalesce("text", F.lit("")))))).first()
+        return fts.search(fts.postings(q, KEY), text, KEY, n, total or 0, limit)
+
     def search(self, text: str, limit: int | None = 20) -> DataFrame:
         """Full-text search, best first, with ``score``."""
-        docs = self.t["questions"].withColumn("_k", F.struct(*KEY))
-        hits = fts.search(fts.tokens(docs, "_k"), fts.lengths(docs, "_k"), text, "_k", limit).select("_k.*", "score")
+        hits = self.hits(text, limit)
         found = self.hydrate(self.t["questions"].join(hits.select(*KEY), KEY, "left_semi"))
         scored = found.join(hits.withColumnRenamed("paper_code", "paper"), ["paper", "question"])
         return scored.orderBy("score", "paper", "question")
@@ -240,3 +235,16 @@ class Bank:
         opts = opts.groupBy(*keys).agg(in_order("label", "text", F.coalesce("formulas", F.array().cast(kind)).alias("formulas")).alias("options"))
         out = base.drop("formulas", "options").join(loose, keys, "left").join(opts, keys, "left")
         return out.withColumns({"formulas": F.coalesce("formulas", F.array().cast(kind)), "options": F.coalesce("options", F.array().cast(opts.schema["options"].dataType))}).orderBy(*keys)
+
+    def exported(self) -> DataFrame:
+        """``export`` with the nested lists as JSON texts, one row for each question."""
+        out = self.export()
+        return out.select(*[X.json_of(F.col(c)).alias(c) if out.schema[c].dataType.typeName() == "array" else F.col(c) for c in out.columns])
+
+    @staticmethod
+    def imported(rows: DataFrame) -> DataFrame:
+        """Question objects, as ``upsert`` takes them, from rows of ``exported``; lists that are null or empty texts are empty."""
+        from quire.operators.assemble import PARTS
+
+        kinds = {**PARTS, "topics": "array<string>"}
+        return rows.select(*[F.coalesce(X.json_to(F.col(c), kinds[c]), F.array().cast(kinds[c])).alias(c) if c in kinds else F.col(c) for c in rows.columns])

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import geometry as G
 from quire.functions import text as X
-from quire.operators import assemble, audit, fts, merge, options, segment, spatial, topics, tutor
+from quire.operators import assemble, audit, merge, options, quarantine, segment, spatial, topics, tutor
 from quire.operators import order as O
 from quire.plans import bank as B
 from quire.plans import views as V
+from quire.plans.scratch import scratch_path, written
+from quire.sources import adapters, files, listing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,12 +88,12 @@ def download_plan(spark, d):
 
 @query("""SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1""")
 def status_tally(spark, d):
-    return V.read(spark, d, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    return audit.tally(V.read(spark, d, "orders"), "o_orderpriority")
 
 
 @query("""SELECT stem, count(*) AS n FROM (SELECT regexp_extract(stem, '^([^_]+_[^_]+)', 1) AS stem FROM v_stems) GROUP BY 1 HAVING count(*) > 1""", "v_stems")
 def stem_clash(spark, d):
-    return V.v_stems(spark, d).select(F.regexp_extract("stem", "^([^_]+_[^_]+)", 1).alias("stem")).groupBy("stem").agg(F.count("*").alias("n")).where("n > 1")
+    return files.clashes(V.v_stems(spark, d).select(F.regexp_extract("stem", "^([^_]+_[^_]+)", 1).alias("stem")))
 
 
 # Spans
@@ -122,7 +125,7 @@ def blank_fold(spark, d):
 
 @query("""SELECT paper, page, ord, (pk >> 4) & 1 = 1 AS bold, (pk >> 1) & 1 = 1 AS italic FROM v_spans""", "v_spans")
 def font_flags(spark, d):
-    return V.v_spans(spark, d).select("paper", "page", "ord", (F.getbit("pk", F.lit(4)) == 1).alias("bold"), (F.getbit("pk", F.lit(1)) == 1).alias("italic"))
+    return V.v_spans(spark, d).select("paper", "page", "ord", X.is_bold(c("pk")).alias("bold"), X.is_italic(c("pk")).alias("italic"))
 
 
 @query("""SELECT paper, page, count(*) AS kept FROM v_spans WHERE NOT (y0 <= 60 OR y0 + h >= 800 - 55 OR regexp_matches(text, '(?i)turn over')) GROUP BY paper, page""", "v_spans")
@@ -142,8 +145,7 @@ def examiner_filter(spark, d):
 SELECT s.paper, count(*) AS kept FROM v_spans s LEFT JOIN e USING (paper) WHERE stop IS NULL OR page*10000+ord < stop GROUP BY s.paper""", "v_spans")
 def colophon_cut(spark, d):
     s = V.v_spans(spark, d).withColumn("t", F.when(c("pk") % 211 == 0, "Permission to reproduce items").otherwise(c("text"))).withColumn("at", c("page") * 10000 + c("ord"))
-    stop = F.min(F.when(c("t").rlike(X.COLOPHON), c("at"))).over(Window.partitionBy("paper"))
-    return s.withColumn("stop", stop).where("stop is null or at < stop").groupBy("paper").agg(F.count("*").alias("kept"))
+    return segment.before_colophon(s, ["paper"], "at", c("t").rlike(X.COLOPHON)).groupBy("paper").agg(F.count("*").alias("kept"))
 
 
 @query("""SELECT o_orderkey, CASE l WHEN 'doc_title' THEN 'title' WHEN 'chart' THEN 'image' WHEN 'formula_number' THEN 'formula' WHEN 'plain text' THEN 'text' ELSE 'other' END AS type
@@ -313,10 +315,95 @@ def first_code(spark, d):
 @query("""SELECT paper, page, region_ord, CASE WHEN region_ord%2=0 THEN concat('img', region_ord, '.jpg') ELSE concat('p', page, '_r', region_ord, '.png') END AS file, CASE WHEN region_ord%2=0 THEN 'image/jpeg' ELSE 'image/png' END AS media FROM v_regions""", "v_regions")
 def export_names(spark, d):
     images = F.when(c("region_ord") % 2 == 0, F.array(F.concat(F.lit("img"), c("region_ord"), F.lit(".jpg")))).otherwise(F.array().cast("array<string>"))
-    r = V.v_regions(spark, d).withColumn("file", assemble.export_name(images, F.format_string("p%d_r%d", "page", "region_ord")))
+    r = V.v_regions(spark, d).withColumn("file", assemble.export_name(images, G.region_id(c("page"), c("region_ord"))))
     return r.select("paper", "page", "region_ord", "file", X.media_type(c("file")).alias("media"))
 
 
+ROW9 = """SELECT *, sum(new) OVER (PARTITION BY paper, question ORDER BY page, y0, f, ord ROWS UNBOUNDED PRECEDING) AS rw FROM (
+ SELECT *, CASE WHEN y0 - lag(y0) OVER w > 9 OR page <> lag(page) OVER w OR lag(y0) OVER w IS NULL THEN 1 ELSE 0 END AS new FROM {0} WINDOW w AS (PARTITION BY paper, question ORDER BY page, y0, f, ord))"""
+KIND = "CASE (region_ord + r.paper) % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'table' WHEN 2 THEN 'formula' ELSE 'text' END"
+BUILT = ACCEPT + f""", bd AS (SELECT paper, num, page*100000.0+(y0-5.0) AS k FROM ac),
+ any_ AS (SELECT paper, page, ord AS id, 0 AS f, page*100000.0+y0 AS k FROM v_spans UNION ALL SELECT paper, page, region_ord, 1, page*100000.0+y0 FROM v_regions),
+ mem AS (SELECT paper, page, id, f, max(num) AS question FROM (SELECT a.*, b.num, b.k AS bk, max(b.k) OVER (PARTITION BY a.paper, a.page, a.id, a.f) AS mk FROM any_ a JOIN bd b ON a.paper=b.paper AND b.k <= a.k) WHERE bk = mk GROUP BY ALL),
+ sp AS (SELECT s.*, m.question, 0 AS f FROM v_spans s JOIN mem m ON m.paper=s.paper AND m.page=s.page AND m.id=s.ord AND m.f=0),
+ rg AS (SELECT r.*, m.question, {KIND} AS type FROM v_regions r JOIN mem m ON m.paper=r.paper AND m.page=r.page AND m.id=r.region_ord AND m.f=1 WHERE region_ord%5 <> 4),
+ it AS (SELECT paper, question, page, f, ord, text, x0, y0, NULL AS latex, NULL AS bx FROM sp UNION ALL SELECT paper, question, page, 1, page*10+region_ord, '', x0, y0, concat('L', region_ord), concat_ws(' ', x0, y0, x1, y1) FROM rg WHERE type='formula'),
+ tx AS (SELECT paper, question, string_agg(trim(text), ' ' ORDER BY rw, x0, y0, ord) AS text FROM ({ROW9.format("sp")}) GROUP BY ALL),
+ o AS (SELECT *, row_number() OVER (PARTITION BY paper, question ORDER BY rw, x0, y0, f, ord) AS pl FROM ({ROW9.format("it")})),
+ oa AS (SELECT paper, question, min(pl) AS a FROM o WHERE trim(text)='A' GROUP BY ALL), ob AS (SELECT o.paper, o.question, a, min(pl) AS b FROM o JOIN oa USING (paper, question) WHERE trim(text)='B' AND pl>a GROUP BY ALL),
+ oc AS (SELECT o.paper, o.question, a, b, min(pl) AS c FROM o JOIN ob USING (paper, question) WHERE trim(text)='C' AND pl>b GROUP BY ALL), od AS (SELECT o.paper, o.question, a, b, c, min(pl) AS d FROM o JOIN oc USING (paper, question) WHERE trim(text)='D' AND pl>c GROUP BY ALL),
+ op AS (SELECT paper, question, CASE WHEN pl>d THEN 'D' WHEN pl>c THEN 'C' WHEN pl>b THEN 'B' ELSE 'A' END AS label, text, latex, bx, pl FROM o JOIN od USING (paper, question) WHERE pl>a AND pl NOT IN (b, c, d)),
+ ol AS (SELECT od.paper, od.question, l AS label, coalesce(string_agg(trim(text), ' ' ORDER BY pl) FILTER (WHERE trim(text)<>''), '') AS t, coalesce(string_agg(latex, '+' ORDER BY pl), '') AS fs
+  FROM od CROSS JOIN (VALUES ('A'),('B'),('C'),('D')) v(l) LEFT JOIN op ON op.paper=od.paper AND op.question=od.question AND op.label=l GROUP BY ALL),
+ os AS (SELECT paper, question, string_agg(concat(label, '. ', t, ' (', fs, ')'), '; ' ORDER BY label) AS options FROM ol GROUP BY ALL),
+ ga AS (SELECT paper, question, coalesce(string_agg(concat('r', region_ord, '.png'), ',' ORDER BY page*10+region_ord) FILTER (WHERE type='image'), '') AS images,
+  coalesce(string_agg(concat('h', region_ord, '/', page), ',' ORDER BY page*10+region_ord) FILTER (WHERE type='table'), '') AS tables, coalesce(string_agg(concat('L', region_ord, '@', x0), ',' ORDER BY page*10+region_ord) FILTER (WHERE type='formula'), '') AS formulas FROM rg GROUP BY ALL),
+ cr AS (SELECT paper, question, page, greatest(0.0, min(y0)-6.0) AS y0, least(760.0, max(y1)+6.0) AS y1 FROM (SELECT paper, question, page, y0, y0+h AS y1 FROM sp UNION ALL SELECT paper, question, page, y0, y1 FROM rg) GROUP BY ALL),
+ cs AS (SELECT paper, question, string_agg(concat('p', page, '_q', question, ' ', y0::INT, '-', y1::INT), ',' ORDER BY page) AS crops FROM cr GROUP BY ALL)"""
+
+
+def _built(spark, d):
+    """Questions from spans and regions, built end to end."""
+    keys = ["paper", "question"]
+    accepted = _accepted(spark, d)
+    s = segment.members(V.v_spans(spark, d).select("paper", "page", "ord", "text", "x0", "y0", "y1"), accepted, ["paper"])
+    r = V.v_regions(spark, d)
+    r = segment.members(r.alias("r").withColumn("type", F.expr(KIND)).withColumn("region_id", G.region_id(c("page"), c("region_ord"))), accepted, ["paper"])
+    rows = O.reading_rank(O.cluster_rows(s, keys, "y0", 9.0, page="page"), keys)
+    text = rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", X.strip(c("text")).alias("t")))), lambda x: x["t"]), " ").alias("text"))
+    parsed = accepted.select("paper", c("num").cast("long").alias("question"), "page").join(text, keys, "left").withColumn("text", F.coalesce("text", F.lit("")))
+    refs = r.where("type <> 'text'").select(*keys, (c("page") * 10 + c("region_ord")).alias("ord"), "region_id", "type", "page", G.box("x0", "y0", "x1", "y1").alias("bbox"))
+    # Of every fifth region there is no asset.
+    made = V.v_regions(spark, d).where("region_ord % 5 <> 4")
+    assets = made.select("paper", G.region_id(c("page"), c("region_ord")).alias("region_id"), F.concat(F.lit("r"), "region_ord", F.lit(".png")).alias("file"), F.concat(F.lit("L"), "region_ord").alias("latex"), F.array(F.concat(F.lit("h"), "region_ord")).alias("headers"), F.array(F.array(c("page").cast("string"))).alias("rows"))
+    parts = s.select(*keys, "page", "y0", "y1").unionByName(r.where("region_ord % 5 <> 4").select(*keys, "page", "y0", "y1"))
+    pages = parts.select("paper", "page").distinct().withColumns({"width": F.lit(595.0), "height": F.lit(760.0)})
+    crops = assemble.crop_ranges(parts, keys, pages).select(*keys, "page", F.format_string("p%d_q%d", "page", "question").alias("file"), c("crop").alias("bbox"))
+    codes = assemble.first_code(V.v_spans(spark, d), ["paper"], F.format_string("9702/%d/M/J/25", F.first("paper")))
+    return written(assemble.build(parsed, s, refs, assets, crops, codes), "built")
+
+
+@query(f"""WITH {BUILT} SELECT concat('9702/', ac.paper, '/M/J/25') AS paper, ac.page, ac.num AS question, coalesce(nullif(list_sum(regexp_extract_all(coalesce(tx.text, ''), '\\[(\\d{{1,2}})\\]', 1)::INT[]), NULL), 1)::BIGINT AS marks, sha256(coalesce(tx.text, '')) AS text,
+ coalesce(images, '') AS images, coalesce(tables, '') AS tables, coalesce(formulas, '') AS formulas, coalesce(crops, '') AS question_images, coalesce(options, '') AS options
+FROM ac LEFT JOIN tx ON tx.paper=ac.paper AND tx.question=ac.num LEFT JOIN ga ON ga.paper=ac.paper AND ga.question=ac.num LEFT JOIN cs ON cs.paper=ac.paper AND cs.question=ac.num LEFT JOIN os ON os.paper=ac.paper AND os.question=ac.num""", "v_markers", "v_regions")
+def built_questions(spark, d):
+    joined = lambda col, entry, sep=",": F.array_join(F.transform(col, entry), sep)
+    n = lambda v: v.cast("int").cast("string")
+    return _built(spark, d).select(
+        "paper", "page", "question", c("marks").cast("long").alias("marks"), F.sha2("text", 256).alias("text"), joined("images", lambda x: x["file"]).alias("images"), joined("tables", lambda x: F.concat(x["headers"][0], F.lit("/"), x["rows"][0][0])).alias("tables"),
+        joined("formulas", lambda x: F.concat(x["latex"], F.lit("@"), n(x["bbox"]["x0"]))).alias("formulas"), joined("question_images", lambda x: F.concat(x["file"], F.lit(" "), n(x["bbox"]["y0"]), F.lit("-"), n(x["bbox"]["y1"]))).alias("question_images"),
+        joined("options", lambda x: F.concat(x["label"], F.lit(". "), x["text"], F.lit(" ("), F.array_join(x["formulas"]["latex"], "+"), F.lit(")")), "; ").alias("options"),
+    )
+
+
+@query(f"""WITH {BUILT}, lo AS (SELECT rg.paper, rg.question FROM rg WHERE type='formula' AND NOT EXISTS (SELECT 1 FROM op WHERE op.paper=rg.paper AND op.question=rg.question AND op.bx = concat_ws(' ', rg.x0, rg.y0, rg.x1, rg.y1)))
+SELECT 'papers' AS part, (SELECT count(DISTINCT paper) FROM ac) AS n UNION ALL SELECT 'questions', (SELECT count(*) FROM ac) UNION ALL SELECT 'images', (SELECT count(*) FROM rg WHERE type='image') UNION ALL SELECT 'tables', (SELECT count(*) FROM rg WHERE type='table')
+UNION ALL SELECT 'question_images', (SELECT count(*) FROM cr) UNION ALL SELECT 'options', (SELECT count(*) FROM ol) UNION ALL SELECT 'tied', (SELECT count(*) FROM op WHERE latex IS NOT NULL) UNION ALL SELECT 'loose', (SELECT count(*) FROM lo)""", "v_markers", "v_regions")
+def built_bank(spark, d):
+    """The built questions as rows of a bank; formulas under an option are stored there and not once more under the question."""
+    b = B.Bank.of(spark).upsert(_built(spark, d))
+    count = lambda name, df: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+    out = [count(t, b.t[t]) for t in ("papers", "questions", "images", "tables", "question_images", "options")]
+    out += [count("tied", b.t["formulas"].where("label is not null")), count("loose", b.t["formulas"].where("label is null"))]
+    return reduce(DataFrame.unionAll, out)
+
+
+BOX_JSON = "concat('{\"x0\":', {0}.x0::DOUBLE, ',\"y0\":', {0}.y0::DOUBLE, ',\"x1\":', {0}.x1::DOUBLE, ',\"y1\":', {0}.y1::DOUBLE, '}')"
+
+
+@query(f"""WITH {BUILT}, tj AS (SELECT paper, question, concat('[', string_agg(concat('{{"headers":["h', region_ord, '"],"rows":[["', page, '"]],"bbox":', {BOX_JSON.replace("{0}", "rg")}, '}}'), ',' ORDER BY page*10+region_ord), ']') AS tables FROM rg WHERE type='table' GROUP BY ALL),
+ ij AS (SELECT paper, question, concat('[', string_agg(concat('{{"file":"r', region_ord, '.png","bbox":', {BOX_JSON.replace("{0}", "rg")}, '}}'), ',' ORDER BY page*10+region_ord), ']') AS images FROM rg WHERE type='image' GROUP BY ALL),
+ lo AS (SELECT paper, question, count(*) AS n FROM rg WHERE type='formula' AND NOT EXISTS (SELECT 1 FROM op WHERE op.paper=rg.paper AND op.question=rg.question AND op.bx = concat_ws(' ', rg.x0, rg.y0, rg.x1, rg.y1)) GROUP BY ALL)
+SELECT concat('9702/', ac.paper, '/M/J/25') AS paper, ac.num AS question, coalesce(tables, '[]') AS tables, coalesce(images, '[]') AS images, coalesce(lo.n, 0) AS loose, (SELECT count(*) FROM op WHERE latex IS NOT NULL AND op.paper=ac.paper AND op.question=ac.num) AS tied
+FROM ac LEFT JOIN tj ON tj.paper=ac.paper AND tj.question=ac.num LEFT JOIN ij ON ij.paper=ac.paper AND ij.question=ac.num LEFT JOIN lo ON lo.paper=ac.paper AND lo.question=ac.num""", "v_markers", "v_regions")
+def bank_export(spark, d):
+    """Built questions stored, exported as JSON texts, stored again from those and exported once more."""
+    first = written(B.Bank.of(spark).upsert(_built(spark, d)).exported(), "export")
+    again = B.Bank.of(spark).upsert(B.Bank.imported(first)).export()
+    tied = F.aggregate(F.transform("options", lambda o: F.size(o["formulas"])), F.lit(0), lambda a, x: a + x)
+    return again.select("paper", "question", X.json_of(c("tables")).alias("tables"), X.json_of(c("images")).alias("images"), F.size("formulas").cast("long").alias("loose"), tied.cast("long").alias("tied"))
+
+
 # Topics
 
 
@@ -361,8 +448,21 @@ def tagged_summary(spark, d):
 # Retrieval
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def store(spark, d) -> B.Bank:
-    """The bank that the retrieval queries run on."""
+    """The stored bank that the retrieval queries run on, with its index; written once for a session and its tables."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _stored:
+        path = scratch_path(spark, "bank")
+        derived(spark, d).save(path)
+        _stored[key] = path
+    return B.Bank.load(spark, _stored[key])
+
+
+def derived(spark, d) -> B.Bank:
+    """A bank of the given tables: documents as questions, topics by their words, options for a fifth."""
     q = V.v_questions(spark, d)
     links = _scored(spark, d).join(q.select("doc_id", "paper_code", "question"), "doc_id").select("paper_code", "question", "topic", "score", "lex_ord")
     opts = q.where("doc_id % 5 = 0").select("paper_code", "question", F.explode(F.array(*map(F.lit, "ABCD"))).alias("label"), F.concat_ws(" ", F.lit("choice"), c("marks")).alias("text"))
@@ -441,48 +541,46 @@ TOK = r"""tk AS (SELECT doc_id, unnest(t) AS term, unnest(range(len(t))) AS pos
  dl AS (SELECT doc_id, len(regexp_extract_all(strip_accents(lower(coalesce(text,''))), '[\p{L}\p{N}]+')) AS dl FROM documents), st AS (SELECT count(*) AS n, avg(dl) AS a FROM dl)"""
 
 
-def _bm25(leaves: list[str], where: str) -> str:
+def _bm25(leaves: list[str], where: str, top: int | None = None) -> str:
     """SQL of BM25 over leaf tables (doc_id, f) given by their SELECTs."""
     ctes = "".join(f", l{k} AS ({s})" for k, s in enumerate(leaves))
     joins = " ".join(f"LEFT JOIN l{k} ON l{k}.doc_id = dl.doc_id" for k in range(len(leaves)))
     total = " + ".join(f"greatest(1e-6, ln((n - (SELECT count(*) FROM l{k}) + 0.5) / ((SELECT count(*) FROM l{k}) + 0.5))) * coalesce(l{k}.f,0) * 2.2 / (coalesce(l{k}.f,0) + 1.2*(0.25 + 0.75*dl/a))" for k in range(len(leaves)))
-    return f"WITH {TOK}{ctes} SELECT dl.doc_id, round(-({total}), 6) AS score FROM dl CROSS JOIN st {joins} WHERE {where}"
+    end = f" ORDER BY -({total}), paper, question LIMIT {top}" if top else ""
+    return f"WITH {TOK}{ctes} SELECT q.paper_code AS paper, q.question, q.marks, round(-({total}), 6) AS score FROM dl JOIN v_questions q ON q.doc_id = dl.doc_id CROSS JOIN st {joins} WHERE {where}{end}"
 
 
 def _term(t: str) -> str:
     return f"SELECT doc_id, count(*) AS f FROM tk WHERE term = '{t}' GROUP BY doc_id"
 
 
-def _found(spark, d, text):
-    docs = V.read(spark, d, "documents").select("doc_id", "text")
-    return fts.search(fts.tokens(docs, "doc_id"), fts.lengths(docs, "doc_id"), text, "doc_id", None).select("doc_id", F.round("score", 6).alias("score"))
+def _found(spark, d, text, limit=None):
+    return store(spark, d).search(text, limit).select("paper", "question", "marks", F.round("score", 6).alias("score"))
 
 
-@query(_bm25([_term("the"), _term("th")], "l0.f IS NOT NULL AND l1.f IS NOT NULL"))
+@query(_bm25([_term("the"), _term("th")], "l0.f IS NOT NULL AND l1.f IS NOT NULL"), "v_questions")
 def search_terms(spark, d):
     return _found(spark, d, "The TH")
 
 
-@query(_bm25([_term("the"), _term("license"), _term("der")], "(l0.f IS NOT NULL AND l1.f IS NULL) OR l2.f IS NOT NULL"))
+@query(_bm25([_term("the"), _term("license"), _term("der")], "(l0.f IS NOT NULL AND l1.f IS NULL) OR l2.f IS NOT NULL"), "v_questions")
 def search_bool(spark, d):
     return _found(spark, d, "the NOT license OR dér")
 
 
-@query(_bm25(["SELECT a.doc_id, count(*) AS f FROM tk a JOIN tk b ON a.doc_id=b.doc_id AND b.pos=a.pos+1 WHERE a.term='of' AND b.term='the' GROUP BY a.doc_id"], "l0.f IS NOT NULL"))
+@query(_bm25(["SELECT a.doc_id, count(*) AS f FROM tk a JOIN tk b ON a.doc_id=b.doc_id AND b.pos=a.pos+1 WHERE a.term='of' AND b.term='the' GROUP BY a.doc_id"], "l0.f IS NOT NULL"), "v_questions")
 def search_phrase(spark, d):
     return _found(spark, d, '"of the"')
 
 
-@query(_bm25(["SELECT doc_id, count(*) AS f FROM tk WHERE starts_with(term, 'lice') GROUP BY doc_id"], "l0.f IS NOT NULL"))
+@query(_bm25(["SELECT doc_id, count(*) AS f FROM tk WHERE starts_with(term, 'lice') GROUP BY doc_id"], "l0.f IS NOT NULL"), "v_questions")
 def search_prefix(spark, d):
     return _found(spark, d, "lice*")
 
 
-@query(f"SELECT doc_id, score FROM ({_bm25([_term('der'), _term('die')], 'l0.f IS NOT NULL AND l1.f IS NOT NULL')}) ORDER BY score, doc_id LIMIT 20")
+@query(_bm25([_term("der"), _term("die")], "l0.f IS NOT NULL AND l1.f IS NOT NULL", 20), "v_questions")
 def search_top(spark, d):
-    docs = V.read(spark, d, "documents").select("doc_id", "text")
-    out = fts.search(fts.tokens(docs, "doc_id"), fts.lengths(docs, "doc_id"), "der die", "doc_id", None)
-    return out.withColumn("score", F.round("score", 6)).orderBy("score", "doc_id").limit(20)
+    return _found(spark, d, "der die", 20)
 
 
 # Upsert, merge
@@ -589,6 +687,106 @@ def audit_duplicates(spark, d):
     return audit.audit(both, q, V.v_stems(spark, d)).where("category = 'duplicate'").select("key", "detail")
 
 
+@query("""WITH k AS (SELECT coalesce(lang, '-') AS category, doc_id, row_number() OVER (PARTITION BY coalesce(lang, '-') ORDER BY printf('%09d', doc_id)) AS place, count(*) OVER (PARTITION BY coalesce(lang, '-')) AS n FROM documents)
+SELECT category, place, printf('%09d', doc_id) AS line FROM k WHERE place <= 20 UNION ALL SELECT category, 21, concat('... and ', max(n) - 20, ' more') FROM k GROUP BY category HAVING max(n) > 20""")
+def report_lists(spark, d):
+    """The lists of a report, cut off after twenty entries."""
+    rows = V.read(spark, d, "documents").select(F.coalesce("lang", F.lit("-")).alias("category"), F.format_string("%09d", "doc_id").alias("key"))
+    return audit.shown(rows, 20, order=("key",))
+
+
+PHASES = ("extract_pdf", "layout_detection", "formula_extractor", "build_questions")
+
+
+@query(f"""WITH p AS (SELECT o_orderkey AS k, min(o_custkey) AS c FROM orders GROUP BY 1), f AS (SELECT k, min(ph) AS ph FROM (SELECT l_orderkey AS k, CASE WHEN l_orderkey%97=0 THEN 2 ELSE l_partkey%40 END AS ph FROM lineitem WHERE l_linenumber > 1) WHERE ph < 4 GROUP BY 1)
+SELECT concat('/in/', p.k, '.pdf') AS paper, CASE ph {" ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(PHASES))} ELSE 'done' END AS phase FROM p LEFT JOIN f ON f.k = p.k""")
+def quarantine_phases(spark, d):
+    """Papers by the phase that they fell out of, or done: a phase's lines are read, met with what is left of the batch, and its papers dropped."""
+    live = V.read(spark, d, "orders").select(F.concat(F.lit("/in/"), "o_orderkey", F.lit(".pdf")).alias("paper")).distinct()
+    said = V.read(spark, d, "lineitem").withColumn("ph", F.expr("CASE WHEN l_orderkey % 97 = 0 THEN 2 ELSE l_partkey % 40 END"))
+
+    def lines(k, name):
+        # Besides the failures: notes, lines of too few fields, and papers that are not in the batch.
+        line = F.expr(f"CASE WHEN l_linenumber = 1 THEN concat('!!! PAPER-FAILED {name} /in/', l_orderkey, '.pdf') ELSE concat('{quarantine.PREFIX}', chr(9), '{name}', chr(9), '/in/', l_orderkey, '.pdf') END")
+        own = said.where(f"ph = {k}").select(line.alias("line"))
+        other = said.where(f"ph = {k}").select(F.explode(F.array(F.lit("=== phase ==="), F.lit(f"{quarantine.PREFIX}\t{name}\t/elsewhere.pdf"), F.lit(f"{quarantine.PREFIX}\t{name}"))).alias("line"))
+        return own.unionByName(other)
+
+    done, failed = quarantine.run_phases(live, [(name, lambda _, k=k, name=name: lines(k, name)) for k, name in enumerate(PHASES)], written)
+    return failed.select("paper", "phase").unionByName(done.select("paper", F.lit("done").alias("phase")))
+
+
+# Listings and batches
+
+FILES = """fl AS (SELECT doc_id, paper_code, concat('f', doc_id, '.png') AS file, concat(split_part(paper_code,'/',1), '_', CASE split_part(paper_code,'/',3) WHEN 'M' THEN 's' WHEN 'O' THEN 'w' ELSE 'm' END, split_part(paper_code,'/',5), '_qp_') AS st, split_part(paper_code,'/',2) AS num FROM v_questions)"""
+
+
+def _tree(spark, d):
+    """Files of questions: in the root, under it by the paper's stem or its short form, beside it, or nowhere; some in two places."""
+    q = V.v_questions(spark, d).withColumn("stems", X.code_stems(c("paper_code"))).withColumn("file", F.concat(F.lit("f"), "doc_id", F.lit(".png")))
+    first, last = F.element_at("stems", 1), F.element_at("stems", -1)
+    at = lambda base, stem: F.concat(F.lit(base), stem, F.lit("/images/"), "file")
+    k = c("doc_id") % 6
+    places = F.array_compact(F.array(
+        F.when(k == 0, F.concat(F.lit("out/"), "file")), F.when(k.isin(0, 1), at("out/", first)), F.when(k.isin(1, 2), at("out/", last)), F.when(k.isin(2, 3), at("", first)), F.when(k.isin(3, 4), at("", last)), F.when(k == 5, F.concat(F.lit("out/other/"), "file")),
+    ))
+    return q, q.select(F.explode(places).alias("path"))
+
+
+@query(f"""WITH {FILES} SELECT doc_id, CASE doc_id%6 WHEN 0 THEN concat('out/', file) WHEN 1 THEN concat('out/', st, num, '/images/', file) WHEN 2 THEN concat('out/', st, left(num,1), '/images/', file) WHEN 3 THEN concat(st, num, '/images/', file)
+ WHEN 4 THEN concat(st, left(num,1), '/images/', file) END AS path FROM fl""", "v_questions")
+def asset_locate(spark, d):
+    """The place of each question's file, first in priority."""
+    q, tree = _tree(spark, d)
+    return listing.locate(q.select("doc_id", "paper_code", "file"), tree, "out", "images").select("doc_id", "path")
+
+
+SOURCES = """ls AS (SELECT concat('s', o_custkey%50) AS source, o_custkey%50 < 10 AS flat, concat('p', o_orderkey) AS dir, o_orderkey%5 AS k, o_orderkey FROM orders)"""
+
+
+def _sources(spark, d):
+    """A listing of fifty output trees, ten of them of a single paper."""
+    o = V.read(spark, d, "orders").selectExpr("concat('s', o_custkey % 50) AS source", "o_custkey % 50 < 10 AS flat", "concat('p', o_orderkey) AS dir", "o_orderkey % 5 AS k", "o_orderkey")
+    kinds = F.expr("CASE k WHEN 0 THEN 'topics/classified_questions.json' WHEN 1 THEN 'images/a.png' WHEN 2 THEN 'topics/other.json' WHEN 3 THEN 'images' ELSE 'sub/images/a.png' END")
+    child = o.select("source", F.concat_ws("/", "dir", kinds).alias("path"))
+    own = o.where("flat and k < 2").select("source", kinds.alias("path"))
+    return child.unionByName(own).withColumn("size", F.lit(1).cast("long"))
+
+
+@query(f"""WITH {SOURCES}, fs AS (SELECT DISTINCT source FROM ls WHERE flat AND k < 2) SELECT source, source AS stem, '' AS dir FROM fs UNION ALL SELECT DISTINCT source, dir, dir FROM ls WHERE k < 2 AND source NOT IN (SELECT source FROM fs)""")
+def tree_scan(spark, d):
+    """The papers of each tree, in either layout."""
+    return listing.paper_dirs(_sources(spark, d))
+
+
+@query(f"""WITH {SOURCES}, pd AS (SELECT source, concat('x', o_orderkey) AS stem FROM ls WHERE source < 's3' AND k = 2) SELECT source, stem FROM pd UNION ALL SELECT DISTINCT source, dir FROM ls WHERE source NOT IN (SELECT source FROM pd)
+UNION ALL SELECT DISTINCT source, CASE k WHEN 0 THEN 'topics' ELSE 'images' END FROM ls WHERE flat AND k < 2 AND source NOT IN (SELECT source FROM pd)""")
+def expected_scan(spark, d):
+    """Stems of the PDFs of each tree, or its folders."""
+    tree = _sources(spark, d)
+    pdf = V.read(spark, d, "orders").selectExpr("concat('s', o_custkey % 50) AS source", "concat('in/deep/x', o_orderkey, '.pdf') AS path", "1L AS size", "o_orderkey % 5 AS k").where("source < 's3' and k = 2").drop("k")
+    return listing.expected_stems(tree.unionByName(pdf))
+
+
+@query("""WITH sc AS (SELECT paper_code, paper_id, CASE paper_id%3 WHEN 0 THEN paper_code ELSE concat(split_part(paper_code,'/',1), '/0', paper_code[6:]) END AS code FROM v_papers WHERE paper_id%11<>0)
+SELECT DISTINCT stem, code AS paper_code FROM v_stems s LEFT JOIN sc ON CASE WHEN stem LIKE 'notes%' THEN NULL ELSE concat(split_part(stem,'_',1), '/', split_part(stem,'_',4), '/', CASE left(split_part(stem,'_',2),1) WHEN 's' THEN 'M/J' WHEN 'w' THEN 'O/N' ELSE 'F/M' END, '/', right(split_part(stem,'_',2),2)) END = sc.paper_code""", "v_stems")
+def stem_fallback(spark, d):
+    """The stored code of each stem, though most are stored with zeros in front and some in two spellings."""
+    p = V.v_papers(spark, d).where("paper_id % 11 <> 0")
+    padded = F.regexp_replace("paper_code", "^([0-9]{4})/", "$1/0")
+    codes = p.select(F.when(c("paper_id") % 3 == 0, c("paper_code")).otherwise(padded).alias("paper_code"), c("paper_id").alias("ord"))
+    again = p.where("paper_id % 3 <> 0").select("paper_code", (c("paper_id") + 1000).alias("ord"))
+    return listing.stored_code(V.v_stems(spark, d), codes.unionByName(again))
+
+
+@query("""WITH s AS (SELECT o_orderkey, CASE WHEN o_custkey%8 < 5 THEN 64 ELSE 32*(o_custkey%8) END AS height, CASE WHEN o_custkey%8 < 5 THEN 96 ELSE NULL END AS width FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY height, width ORDER BY o_orderkey) - 1 AS k FROM s)
+SELECT o_orderkey, height, width, k//16 AS batch, k%16 AS place FROM r""")
+def shape_batches(spark, d):
+    """Crops in batches of one shape, most of them of the same; o_orderkey is the order in which they came."""
+    crops = V.read(spark, d, "orders").selectExpr("o_orderkey", "CASE WHEN o_custkey % 8 < 5 THEN 64 ELSE 32 * (o_custkey % 8) END AS height", "CASE WHEN o_custkey % 8 < 5 THEN 96 END AS width")
+    return adapters.shape_batches(crops, ["height", "width"], "o_orderkey", 16, 1000)
+
+
 # Tutor
 
 

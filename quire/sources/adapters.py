@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any, Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,34 +73,40 @@ class UnknownProviderError(KeyError):
     """There is no such provider."""
 
 
-def batched(make: Callable[[], Callable[[list], list]], items: list, size: int) -> list:
-    """Results of a batch function in order; a batch that fails is done one by one, and what fails then is None."""
+def attempted(make: Callable[[], Callable[[list], list]], items: list, size: int) -> list[tuple]:
+    """(result, error) of each item of a batch function in order; a batch that fails is done one by one, and what fails then has its error."""
     run, out = make(), []
     for at in range(0, len(items), size):
         some = items[at : at + size]
         try:
-            out += run(some)
+            out += [(x, None) for x in run(some)]
         except Exception:
             for one in some:
                 try:
-                    out += run([one])
-                except Exception:
-                    out.append(None)
+                    out += [(x, None) for x in run([one])]
+                except Exception as e:
+                    out.append((None, f"{type(e).__name__}: {e}"))
     return out
 
 
-def apply_model(df: DataFrame, column: str, make: Callable[[], Callable[[list], list]], name: str, kind: str, size: int = 16) -> DataFrame:
-    """``df`` with a model's result for ``column`` as JSON read into ``kind``."""
-    schema = T.StructType([*df.schema.fields, T.StructField("_result", T.StringType())])
+def batched(make: Callable[[], Callable[[list], list]], items: list, size: int) -> list:
+    """The results alone; None for what has failed."""
+    return [x for x, _ in attempted(make, items, size)]
+
+
+def apply_model(df: DataFrame, column: str, make: Callable[[], Callable[[list], list]], name: str, kind: str, size: int = 16, error: str | None = None) -> DataFrame:
+    """``df`` with a model's result for ``column`` as JSON read into ``kind``, and in the column ``error``, if one is named, why there is none."""
+    schema = T.StructType([*df.schema.fields, T.StructField("_result", T.StringType()), T.StructField("_error", T.StringType())])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
         for pdf in it:
-            got = batched(lambda: model, pdf[column].tolist(), size)
-            yield pdf.assign(_result=[None if g is None else json.dumps(g) for g in got])
+            got = attempted(lambda: model, pdf[column].tolist(), size)
+            yield pdf.assign(_result=[None if g is None else json.dumps(g) for g, _ in got], _error=[e for _, e in got])
 
     out = df.mapInPandas(run, schema)
-    return out.withColumn(name, F.from_json("_result", f"struct<v:{kind}>")["v"] if kind != "string" else F.get_json_object("_result", "$.v")).drop("_result")
+    out = out.withColumn(name, F.from_json("_result", f"struct<v:{kind}>")["v"] if kind != "string" else F.get_json_object("_result", "$.v")).drop("_result")
+    return out.withColumnRenamed("_error", error) if error else out.drop("_error")
 
 
 def stub_detector() -> Callable[[list], list]:
@@ -120,6 +127,16 @@ def stub_tutor(kind: str, provider: str = "anthropic") -> Callable[[list], list]
     return lambda prompts: [{"v": f"{kind}: {len(p)} characters"} for p in prompts]
 
 
-def shape_buckets(crops: DataFrame) -> DataFrame:
-    """Crops of one shape next to each other, so that a model's batches fill up. A shape's rows may be many, so none is gathered into one."""
-    return crops.repartition("height", "width").sortWithinPartitions("height", "width")
+def shape_batches(crops: DataFrame, shape: list[str], ordinal: str = "ord", size: int = 16, chunk: int = 10_000) -> DataFrame:
+    """``crops`` with ``batch`` and ``place``: full batches of one shape in input order, by which a model's results go back to their crops.
+
+    ``ordinal`` is an integer, one for each row. Rows are numbered inside chunks of the ordinal and moved up by the counts of the
+    chunks before, so a shape that most crops have is worked on by many tasks; what one task sees of it is a count for each chunk.
+    """
+    own = crops.withColumn("_chunk", F.floor(F.col(ordinal) / chunk))
+    before = Window.partitionBy(*shape).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = own.groupBy(*shape, "_chunk").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(*shape, "_chunk").orderBy(ordinal)) - 1
+    at = F.col("_at") + F.col("_before")
+    ranked = own.withColumn("_at", inside).join(sums.select(*[F.col(k).alias(f"_s_{k}") for k in (*shape, "_chunk")], "_before"), reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in (*shape, "_chunk")]))
+    return ranked.select(*crops.columns, F.floor(at / size).alias("batch"), (at % size).alias("place"))

@@ -1,26 +1,26 @@
-"""Arriving question files into a bank, one snapshot for each micro-batch."""
+"""Arriving question files into a stored bank, one commit for each micro-batch."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.plans.bank import Bank, BankMissingError
+from quire.plans.store import BankStore
 from quire.sources.files import STAGES
 
 
-def ingest(spark: SparkSession, source: str, bank_path: str, checkpoint: str, available_now: bool = True):
+def ingest(spark: SparkSession, source: str, bank_path: str, checkpoint: str, available_now: bool = True, fanout: int = 8, keep: int = 4):
     """Stream JSON-lines files of classified questions into the bank; returns the running query.
 
-    A batch that is run again replaces the same keys, so the bank comes out the same. Only where there
+    A batch writes its own questions and their index only; parts are merged once a bucket has more than ``fanout``, and
+    states before the last ``keep`` go. A batch that is run again replaces the same keys, so the bank comes out the same. Only where there
     is no bank yet does a batch begin one; a bank that cannot be read stops the query.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        try:
-            bank = Bank.load(batch.sparkSession, bank_path)
-        except BankMissingError:
-            bank = Bank.of(batch.sparkSession)
-        bank.upsert(batch).save(bank_path)
+        store = BankStore(batch.sparkSession, bank_path)
+        store.upsert(batch)
+        store.compact(fanout)
+        store.expire(keep)
 
     stream = spark.readStream.schema(STAGES["classified_questions"]).json(source)
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -1,3 +1,6 @@
+import re
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,15 +66,15 @@ def test_unreadable_bank_is_not_missing(spark, tmp_path):
     bank.save(str(path))
     bank.save(str(path))
     assert sorted(x.name for x in path.iterdir() if x.name.startswith("current-")) == ["current-000000000000", "current-000000000001"]
-    name = (path / "current-000000000001").read_text()
-    (path / name).rename(path / "gone")
+    (path / "questions").rename(path / "gone")
     with pytest.raises(Exception) as e:
         Bank.load(spark, str(path)).counts().first()
     assert not isinstance(e.value, BankMissingError)
-    write_stage(built(spark, [{"paper": "q", "question": 2, "text": "new"}]).coalesce(1), str(tmp_path / "in"))
+    write_stage(built(spark, [{"paper": "p", "question": 1, "text": "new"}]).coalesce(1), str(tmp_path / "in"))
     with pytest.raises(Exception):
         ingest(spark, str(tmp_path / "in"), str(path), str(tmp_path / "cp")).awaitTermination(60)
-    (path / "gone").rename(path / name)
+    shutil.rmtree(path / "questions", ignore_errors=True)
+    (path / "gone").rename(path / "questions")
     assert Bank.load(spark, str(path)).counts().first().questions == 1
 
 
@@ -99,7 +102,8 @@ def test_topics(spark):
 
 def ids(spark, docs, query):
     df = spark.createDataFrame(list(enumerate(docs, 1)), "id int, text string")
-    return {r.id: r.score for r in fts.search(fts.tokens(df, "id"), fts.lengths(df, "id"), query, "id", None).collect()}
+    index = fts.postings(df, ["id"])
+    return {r.id: r.score for r in fts.search(index, query, ["id"], len(docs), sum(len(re.findall(r"\w+", d)) for d in docs), None).collect()}
 
 
 def test_search(spark):
