@@ -261,17 +261,70 @@ def seam_join(spark, d):
     return O.join_seams(V.v_spans(spark, d), ["paper", "page"], ["ord"])
 
 
-@query(None)
+ASSIGNED = """asg AS (SELECT paper, page, ord, arg_min(region_ord, (area, region_ord)) FILTER (WHERE region_ord IS NOT NULL) AS region_ord FROM (SELECT s.paper, s.page, s.ord, r.region_ord, (r.x1-r.x0)*(r.y1-r.y0) AS area FROM v_spans s LEFT JOIN v_regions r ON s.paper=r.paper AND s.page=r.page
+ AND 2*greatest(0, least(s.x0+s.w,r.x1)-greatest(s.x0,r.x0))*greatest(0, least(s.y0+s.h,r.y1)-greatest(s.y0,r.y0)) >= s.w*s.h) GROUP BY paper, page, ord)"""
+
+
+def _rows_sql(table: str, gap: int) -> str:
+    """Rows of text (rw) within a question, and the items' reading order (rk)."""
+    new = f"CASE WHEN abs(y0 - lag(y0) OVER w) > {gap} OR page <> lag(page) OVER w OR lag(y0) OVER w IS NULL THEN 1 ELSE 0 END"
+    return f"""SELECT *, row_number() OVER (PARTITION BY paper, question ORDER BY rw, x0, y0, ord) AS rk FROM (SELECT *, sum(new) OVER (PARTITION BY paper, question ORDER BY page, y0, ord ROWS UNBOUNDED PRECEDING) AS rw
+ FROM (SELECT *, {new} AS new FROM {table} WINDOW w AS (PARTITION BY paper, question ORDER BY page, y0, ord)))"""
+
+
+def _accept_sql(order: str, margin: str) -> str:
+    """The candidates cd at the margin mgn with rising numbers, and the place from which each question counts."""
+    return f"""mgn AS ({margin}), nrr AS (SELECT cd.* FROM cd JOIN mgn USING (paper) WHERE abs(x0 - margin) <= 2),
+ acc AS (SELECT * FROM (SELECT *, greatest(coalesce(max(num) OVER (PARTITION BY paper ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS top FROM nrr) WHERE num > top)"""
+
+
+def _inside_sql(table: str, slack: int, key: str) -> str:
+    """The rows of a table that fall in a question, by the last boundary before them."""
+    return f"""SELECT t.*, f.question FROM {table} t JOIN (SELECT paper, {key}, max(num) AS question FROM (SELECT i.paper, i.{key}, a.num, a.page*100000.0+(a.y0-{slack}) AS k, max(a.page*100000.0+(a.y0-{slack})) OVER (PARTITION BY i.paper, i.{key}) AS mk
+ FROM {table} i JOIN acc a ON a.paper=i.paper AND a.page*100000.0+(a.y0-{slack}) <= i.page*100000.0+i.y0) WHERE k = mk GROUP BY paper, {key}) f ON f.paper=t.paper AND f.{key}=t.{key}"""
+
+
+NUMBER = r"CASE WHEN regexp_matches(trim({0}), '^\d{{1,2}}[.):]?$') THEN regexp_extract(trim({0}), '^(\d{{1,2}})', 1)::INT END"
+TYPED = "CASE (region_ord + paper) % 6 WHEN 0 THEN 'text' WHEN 1 THEN 'title' WHEN 2 THEN 'image' WHEN 3 THEN 'formula' WHEN 4 THEN 'other' ELSE 'text' END"
+NOTICE_SQL = r"regexp_matches({0}, '(?i)turn over')"
+EXAMINER_SQL = r"(regexp_matches({0}, '(?i)For\s+Examiner') AND length(regexp_replace(regexp_replace(regexp_replace({0}, '(?i)For\s+Examiner', ' ', 'g'), '\bUse\b|\bTotal\b', ' ', 'g'), '[^A-Za-z]', '', 'g')) < 15)"
+
+
+@query(f"""WITH {ASSIGNED}, ct AS (SELECT a.paper, a.page, a.region_ord, list(struct_pack(ord := s.ord, text := s.text, x0 := s.x0, y0 := s.y0) ORDER BY s.ord) AS content FROM asg a JOIN v_spans s USING (paper, page, ord) GROUP BY ALL),
+ bl AS (SELECT r.paper, r.page, r.region_ord, r.x0, r.y0, coalesce(content, []) AS content, 0 AS last FROM v_regions r LEFT JOIN ct ON ct.paper=r.paper AND ct.page=r.page AND ct.region_ord=r.region_ord UNION ALL SELECT paper, page, NULL, 0, 0, content, 1 FROM ct WHERE region_ord IS NULL),
+ bo AS (SELECT *, row_number() OVER (PARTITION BY paper, page ORDER BY last, y0, x0, region_ord) AS block_ord, CASE WHEN region_ord IS NULL THEN 'other' ELSE {TYPED} END AS type, array_to_string(list_transform(content, lambda c: c.text), ' ') AS joined,
+  list_sort(list_transform(content, lambda c: struct_pack(x0 := c.x0, ord := c.ord, text := c.text)))[1] AS lm FROM bl),
+ bn AS (SELECT *, CASE WHEN len(content) > 0 AND type IN ('text', 'title', 'other') THEN {NUMBER.format("lm.text")} END AS num FROM bo),
+ bq AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY page, y0, x0, block_ord) AS seq FROM bn WHERE NOT ({NOTICE_SQL.format("joined")} OR (num IS NULL AND {EXAMINER_SQL.format("joined")}))),
+ cd AS (SELECT paper, page, y0, lm.x0 AS x0, num, seq FROM bq WHERE num IS NOT NULL),
+ {_accept_sql("seq", "SELECT paper, arg_max(x0, (NOT (n >= 3 AND same >= n*0.6), n, -x0)) AS margin FROM (SELECT paper, x0, count(*) AS n, count(*) FILTER (WHERE num=page) AS same FROM cd GROUP BY paper, x0) GROUP BY paper")},
+ ins AS ({_inside_sql("bq", 5, "seq")}),
+ sp AS (SELECT paper, question, page, type, seq, s.text AS text, s.x0 AS x0, s.y0 AS y0, seq*1000000 + s.ord AS ord FROM (SELECT paper, question, page, type, seq, unnest(content) AS s FROM ins WHERE type IN ('text', 'title', 'caption', 'formula'))),
+ ranked AS ({_rows_sql("sp", 9)}),
+ wh AS (SELECT paper, question, string_agg(trim(text), ' ' ORDER BY rk) AS text, count(*) AS n_spans FROM ranked GROUP BY ALL),
+ ru AS (SELECT *, sum(fresh) OVER (PARTITION BY paper, question ORDER BY rk ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, CASE WHEN seq <> lag(seq) OVER w OR lag(seq) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM ranked WHERE type IN ('text', 'title') WINDOW w AS (PARTITION BY paper, question ORDER BY rk))),
+ li AS (SELECT paper, question, count(*) AS n_lines FROM (SELECT paper, question, run, trim(string_agg(trim(text), ' ' ORDER BY rk)) AS line FROM ru GROUP BY ALL) WHERE line <> '' GROUP BY ALL),
+ pt AS (SELECT paper, question, max(page) AS end_page, count(*) FILTER (WHERE type IN ('image', 'table', 'formula')) AS n_regions FROM ins GROUP BY ALL)
+SELECT acc.paper, num::BIGINT AS question, acc.page, coalesce(end_page, acc.page) AS end_page, coalesce(wh.text, '') AS text, coalesce(n_lines, 0)::INT AS n_lines, coalesce(n_spans, 0)::INT AS n_spans, coalesce(n_regions, 0)::INT AS n_regions
+FROM acc LEFT JOIN pt ON pt.paper=acc.paper AND pt.question=num LEFT JOIN wh ON wh.paper=acc.paper AND wh.question=num LEFT JOIN li ON li.paper=acc.paper AND li.question=num""", "v_spans", "v_regions")
 def parse_blocks(spark, d):
     keys = ["paper", "page"]
-    regions = V.v_regions(spark, d).withColumn("type", F.expr("CASE (region_ord + paper) % 6 WHEN 0 THEN 'text' WHEN 1 THEN 'title' WHEN 2 THEN 'image' WHEN 3 THEN 'formula' WHEN 4 THEN 'other' ELSE 'text' END"))
+    regions = V.v_regions(spark, d).withColumn("type", F.expr(TYPED))
     spans = V.v_spans(spark, d).select(*keys, "ord", "text", "x0", "y0", "x1", "y1")
-    blocks = spatial.blocks(spatial.assign_regions(spans, regions, keys), regions, keys)
-    out = segment.parse_blocks(blocks)
+    blocks = spatial.blocks(written(spatial.assign_regions(spans, regions, keys), "assigned"), regions, keys)
+    out = segment.parse_blocks(blocks, keep=written)
     return out.select("paper", "question", "page", "end_page", "text", F.size("lines").alias("n_lines"), F.size("spans").alias("n_spans"), F.size("regions").alias("n_regions"))
 
 
-@query(None)
+@query(f"""WITH bd AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY page, ord) AS seq FROM v_spans WHERE NOT (y0 <= 60 OR y0 + h >= 800 - 55 OR {NOTICE_SQL.format("text")})),
+ cd AS (SELECT paper, page, y0, x0, num_, seq, num_ AS num FROM (SELECT paper, page, y0, x0, seq, {NUMBER.format("text")} AS num_ FROM bd) WHERE num_ IS NOT NULL),
+ {_accept_sql("page, y0, seq", "SELECT paper, arg_max(x0, (n, -f)) AS margin FROM (SELECT paper, x0, count(*) AS n, min(seq) AS f FROM cd GROUP BY paper, x0) GROUP BY paper")},
+ ins AS ({_inside_sql("bd", 8, "seq")}),
+ ranked AS ({_rows_sql("(SELECT * REPLACE (seq AS ord) FROM ins)", 8)}),
+ tx AS (SELECT paper, question, trim(regexp_replace(string_agg(CASE WHEN pt IS NOT NULL AND right(pt,1) <> ' ' AND left(text,1) <> ' ' AND abs(y0-py) > 8 THEN ' ' || text ELSE text END, '' ORDER BY rk), ' +', ' ', 'g')) AS text
+  FROM (SELECT *, lag(text) OVER w AS pt, lag(y0) OVER w AS py FROM ranked WINDOW w AS (PARTITION BY paper, question ORDER BY rk)) GROUP BY ALL),
+ en AS (SELECT paper, question, max(page) AS end_page FROM ins GROUP BY ALL)
+SELECT acc.paper, num::BIGINT AS question, acc.page, coalesce(end_page, acc.page) AS end_page, coalesce(text, '') AS text FROM acc LEFT JOIN en ON en.paper=acc.paper AND en.question=num LEFT JOIN tx ON tx.paper=acc.paper AND tx.question=num""", "v_spans")
 def group_spans(spark, d):
     return segment.group_spans(V.v_spans(spark, d).select("paper", "page", "ord", "text", "x0", "y0", "y1", F.lit(800).alias("height")))
 

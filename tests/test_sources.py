@@ -126,7 +126,7 @@ def test_build(spark):
     assert (one.paper, one.marks, [i.file for i in one.images], [f.latex for f in one.formulas], [c.file for c in one.question_images]) == ("9702/12/O/N/25", 3, ["0.png"], ["in B", "in stem"], ["a.png", "b.png"])
     assert [(o.label, o.text, [f.latex for f in o.formulas]) for o in one.options] == [("A", "one", []), ("B", "two", ["in B"]), ("C", "", []), ("D", "four", [])]
     assert one.tables[0].headers == ["h"] and one.tables[0].rows == [["c"], []]
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1 and "Exchange hashpartitioning(paper" in plan
     bank = Bank.of(spark).upsert(out)
     assert sorted((r.label or "", r.latex) for r in bank.t["formulas"].collect()) == [("", "in stem"), ("B", "in B")]
