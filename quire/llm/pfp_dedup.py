@@ -16,11 +16,11 @@ order, what repeats:
 Only the first and third kinds go on, so unique text costs one hash row for each 25 bytes
 and is never sent whole. Rows travel packed by hash bucket, with copies inside a
 block resolved before the shuffle. Triggers with very many phrases are dealt by the 100-byte
-strings instead, so none has to fit in one task. Equality of triggers, phrases and strings
-is by 64-bit hashes; what is called equal agrees in at least two of them.
+strings instead, so none has to fit in one task. What is called equal agrees in two 64-bit
+hashes: phrases in their trigger's and their own, strings in their trigger's and their own.
 
 Defined results: null text is empty; texts under 100 bytes lose nothing; a null doc_id comes
-first; rows that share a doc_id are ordered by a hash of their text, and equal
+first; rows that share a doc_id, null ones too, are told apart and ordered by two 64-bit hashes of their texts, and equal
 ones are one document given twice; other columns are not read.
 """
 
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import discard, materialise, release
+from quire.llm.common import discard, global_rank, materialise, release
 
 SPAN = 100
 GRAM = 48
@@ -152,8 +152,24 @@ def _documents(it: Iterator[pd.DataFrame]) -> Iterator[Block]:
 
 
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, doc, th, text): doc and th tell different documents apart.
+
+    th is 0 where one row has the doc_id. Rows that share one, as all null ones do, are told apart by two 64-bit hashes of their texts, by
+    whose order they are numbered; beyond 2**31 numbers null doc_ids go on with the next ``doc``.
+    """
     low = F.lit(-(2**63)).cast("long")
-    return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), low).alias("doc"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text"))
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{doc_id}`").cast("long"), low).alias("doc"), F.col(f"`{text}`").alias("text"))
+    shared = materialise(own.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "shared")
+    alone = own.select("doc_id", "doc", F.lit(0).alias("th"), "text")
+    if not shared.limit(1).count():
+        return alone
+    t = F.coalesce("text", F.lit(""))
+    several = own.join(shared, "doc", "left_semi").withColumns({"h1": F.xxhash64(t), "h2": F.xxhash64(F.lit("again"), t)})
+    different = materialise(several.select("doc", "h1", "h2").distinct(), "different")
+    numbers = materialise(global_rank(different, F.col("doc"), F.col("h1"), F.col("h2"), name="n"), "numbers")
+    more = F.when(F.col("doc_id").isNull(), F.shiftright("n", 31)).otherwise(F.lit(0))
+    told = several.join(numbers, ["doc", "h1", "h2"]).select("doc_id", (F.col("doc") + more).alias("doc"), F.col("n").bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("th"), "text")
+    return alone.join(shared, "doc", "left_anti").unionByName(materialise(told, "told"))
 
 
 def _places(c: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -226,7 +242,7 @@ def dictionary(parsed: DataFrame) -> DataFrame:
 
 
 _PHRASE = (("trigger", "<u8"), ("doc", "<i8"), ("th", "<i4"), ("pos", "<i4"), ("left", "u1"), ("right", "u1"))
-_STRING = (("key", "<u8"), ("doc", "<i8"), ("th", "<i4"), ("pos", "<i4"), ("left", "u1"))
+_STRING = (("key", "<u8"), ("trigger", "<u8"), ("doc", "<i8"), ("th", "<i4"), ("pos", "<i4"), ("left", "u1"))
 _ROOM = LEFT + SPAN
 
 
@@ -260,7 +276,7 @@ def fetch(own: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
         if len(many):
             own = {k: v[many] for k, v in c.items()}
             row, before, key = _strings(raw[many], own)
-            s = {"key": key, "doc": own["doc"][row], "th": own["th"][row], "pos": own["pos"][row], "left": before}
+            s = {"key": key, "trigger": own["trigger"][row], "doc": own["doc"][row], "th": own["th"][row], "pos": own["pos"][row], "left": before}
             bucket = ((key >> U(33)) % U(buckets)).astype(np.int64)
             out += [(b, b"", b"", pack(s, places, _STRING)) for b, places in _present(bucket)]
         return pd.DataFrame(out, columns=["bucket", "phrases", "raw", "strings"])
@@ -313,25 +329,25 @@ def rank(fetched: DataFrame) -> DataFrame:
             to = np.searchsorted(t, t[min(at + BUCKET_PHRASES, len(t)) - 1], "right")
             own = {k: v[order[at:to]] for k, v in c.items()}
             row, before, keys = _strings(raw[order[at:to]], own)
-            parts.append(repeats(keys, own["doc"][row], own["th"][row], own["pos"][row], before))
+            parts.append(repeats(keys, own["trigger"][row], own["doc"][row], own["th"][row], own["pos"][row], before))
             at = to
         if len(s["key"]):
-            parts.append(repeats(s["key"], s["doc"], s["th"], s["pos"], s["left"].astype(np.int64)))
+            parts.append(repeats(s["key"], s["trigger"], s["doc"], s["th"], s["pos"], s["left"].astype(np.int64)))
         parts = parts or [pd.DataFrame({"doc": [], "th": [], "start": [], "stop": []}).astype("int64")]
         return pd.concat(parts)
 
     return fetched.groupBy("bucket").applyInPandas(run, "doc long, th int, start int, stop int")
 
 
-def repeats(key: np.ndarray, doc: np.ndarray, th: np.ndarray, pos: np.ndarray, before: np.ndarray) -> pd.DataFrame:
-    """Bytes covered by the strings whose key stands earlier, as runs."""
-    order = np.lexsort((pos, th, doc, key))
+def repeats(key: np.ndarray, trigger: np.ndarray, doc: np.ndarray, th: np.ndarray, pos: np.ndarray, before: np.ndarray) -> pd.DataFrame:
+    """Bytes covered by the strings whose key and trigger stand earlier, as runs."""
+    order = np.lexsort((pos, th, doc, trigger, key))
     if len(order):
-        k, d, h, p = key[order], doc[order], th[order], pos[order]
-        twice = (k[1:] == k[:-1]) & (d[1:] == d[:-1]) & (h[1:] == h[:-1]) & (p[1:] == p[:-1])
+        k, t, d, h, p = key[order], trigger[order], doc[order], th[order], pos[order]
+        twice = (k[1:] == k[:-1]) & (t[1:] == t[:-1]) & (d[1:] == d[:-1]) & (h[1:] == h[:-1]) & (p[1:] == p[:-1])
         order = order[np.concatenate([[True], ~twice])]
-    k = key[order]
-    dup = order[1:][k[1:] == k[:-1]]
+    k, t = key[order], trigger[order]
+    dup = order[1:][(k[1:] == k[:-1]) & (t[1:] == t[:-1])]
     doc, th, start = doc[dup], th[dup], pos[dup].astype(np.int64) - before[dup]
     order = np.lexsort((start, th, doc))
     doc, th, start = doc[order], th[order], start[order]
