@@ -142,13 +142,15 @@ def disclosing_terms(own: DataFrame, spans: DataFrame, ratio: float = 0.9, min_d
 def term_spans(own: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, th, kind, start, stop, certain) of disclosing terms outside base spans."""
     flagged = terms.groupBy("term").agg(F.max("certain").alias("certain"))
-    holds = own.select("doc_id", "th", F.explode(_terms(F.col("text"))).alias("term")).join(_small(flagged), "term")
-    holds = holds.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("term")).alias("terms"), F.collect_set(F.when(F.col("certain"), F.col("term"))).alias("sure"))
+    # As the text spells them: lower case may have other letters, and more of them, than any pattern would fold.
+    spelt = F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))
+    holds = own.select("doc_id", "th", F.explode(spelt).alias("spelt")).withColumn("term", F.lower("spelt")).join(_small(flagged), "term")
+    holds = holds.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("spelt")).alias("terms"), F.collect_set(F.when(F.col("certain"), F.col("spelt"))).alias("sure"))
     holds = materialise(holds, "holds", "snappy").select(F.col("doc_id").alias("hold_id"), F.col("th").alias("hold_th"), "terms", "sure")
     docs = own.join(_small(holds), F.expr("doc_id <=> hold_id and th = hold_th"))
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     docs = docs.withColumns({"gaps": F.split("text", pattern, -1), "found": F.regexp_extract_all("text", pattern, F.lit(0))})
-    each = F.transform(F.arrays_zip(F.col("found").alias("m"), F.slice("gaps", F.lit(1), F.size("found")).alias("g")), lambda x, i: F.struct(i.alias("place"), (F.length(x["g"])).alias("gap"), F.length(x["m"]).alias("n"), F.array_contains("sure", F.lower(x["m"])).alias("certain")))
+    each = F.transform(F.arrays_zip(F.col("found").alias("m"), F.slice("gaps", F.lit(1), F.size("found")).alias("g")), lambda x, i: F.struct(i.alias("place"), (F.length(x["g"])).alias("gap"), F.length(x["m"]).alias("n"), F.array_contains("sure", x["m"]).alias("certain")))
     rows = docs.select("doc_id", "th", F.explode(each).alias("m")).select("doc_id", "th", "m.*").distinct()
     upto = Window.partitionBy("doc_id", "th").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     stop = F.sum(F.col("gap") + F.col("n")).over(upto)
