@@ -268,6 +268,18 @@ def test_terms_beyond_a_neighbour(make_docs):
     assert {(r.doc_id, s.start, s.stop) for r in found for s in r.spans if s.kind == 4} == {(k, 0, 8) for k in range(5)}
 
 
+def test_terms_of_any_case_rule(make_docs):
+    """Letters whose lower case is longer, or that have two lower cases, are found where the text has them."""
+    words = ["İSTANBUL", "Istanbul", "ΣΊΣΥΦΟΣ", "STRASSE", "ﬁnder", "Ǆungla"]
+    rows = [(10 * j + k, f"{w if k % 2 else w.capitalize() if w.isascii() else w} m{j}@b.c") for j, w in enumerate(words) for k in range(5)] + [(1000 + k, f"other words number {k}") for k in range(60)]
+    found = {r.doc_id: r for r in pii_disclosure.find(make_docs(rows)).collect()}
+    for d, t in rows[:-60]:
+        assert [(s.start, s.stop) for s in found[d].spans if s.kind == 4] == [(0, t.index(" "))], t
+    # Other letters are other words, though they look alike in capitals.
+    plain = pii_disclosure.find(make_docs([(k, "İSTANBUL m@b.c") for k in range(5)] + [(9, "istanbul")] + rows[-60:])).collect()
+    assert [len(r.spans) for r in plain if r.doc_id == 9] == [0]
+
+
 # Repeated bytes
 
 
@@ -309,6 +321,23 @@ def test_repeats(make_docs, monkeypatch, many, block):
     assert pfp_dedup.remove_repeats(make_docs([])).count() == 0
 
 
+def test_repeats_of_rows_without_id(spark):
+    """Rows without a doc_id stay apart even where 32-bit hashes of their texts are equal."""
+    words = F.concat_ws(" ", *[F.sha2(F.concat_ws("-", F.col("id"), F.lit(k)), 256) for k in range(3)], F.repeat(F.lit("z"), (F.col("id") % 60).cast("int")))
+    texts = spark.range(200_000).select(words.alias("text"))
+    pairs = [r.t for r in texts.groupBy(F.hash("text")).agg(F.array_sort(F.collect_set("text")).alias("t")).where(F.size("t") > 1).collect()]
+    assert pairs, "there are equal 32-bit hashes"
+    longer = [a + " and more of it" for a, *_ in pairs]
+    rows = texts.unionByName(spark.createDataFrame([(t,) for t in longer], "text string")).select(F.lit(None).cast("long").alias("doc_id"), "text")
+    out = pfp_dedup.remove_repeats(rows.repartition(16))
+    got = out.where(F.size("spans") > 0).collect()
+    # Of each text and its longer form, the later one loses what they share, which is all of the shorter one, and nothing else does.
+    assert len(got) == len(pairs) and out.count() == rows.count()
+    sizes = sorted(len(a) for a, *_ in pairs)
+    assert sorted(sum(s.stop - s.start for s in r.spans) for r in got) == sizes
+    assert all(bytes(r.kept) in (b"", b" and more of it") for r in got)
+
+
 def test_repeats_on_documents(spark, sf_dir, documents):
     want = brute_repeats([(r.doc_id, r.text or "") for r in documents.collect()])
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in pfp_dedup.op10(spark, sf_dir).orderBy("doc_id").collect()]
