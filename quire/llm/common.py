@@ -6,57 +6,19 @@ in the folder that the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import atexit
 import gc
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.plans.scratch import remove, scratch_path
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: White space of the corpus contracts: space and the controls 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 
-_scratch: list[tuple[SparkSession, str]] = []
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="quire-"))
-    return _own_dir[0]
-
-
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new path under the shared folder, deleted when the driver ends."""
-    path = f"{shared_dir(spark)}/quire/{tag}-{uuid.uuid4().hex}"
-    _scratch.append((spark, path))
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path through Hadoop's file system, so any store works."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def _remove_all() -> None:
-    for spark, path in _scratch:
-        try:
-            remove(spark, path)
-        except Exception:  # the JVM may be gone by now
-            return
-
-
 def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     """Cut lineage: write the rows as Parquet in the shared folder and read them back.
 

@@ -264,6 +264,8 @@ BROADCAST_ROWS = 200_000
 HEADS = 8
 #: Classes, a multiple of 64, whose parities tell sets apart.
 SKETCH = 1024
+#: Links up to which the components of verified documents are worked out in one task, 16 bytes each.
+FEW_EDGES = 500_000
 #: Parts that the members of one family are dealt to.
 PARTS = 32
 
@@ -277,7 +279,7 @@ def further_links(links_: DataFrame, found: DataFrame, sets: DataFrame, alike, s
     parities of their members in SKETCH classes: two sets differ in one member at least for each class of unequal parity.
     """
     spark = links_.sparkSession
-    families = components(found).withColumnRenamed("root", "family")
+    families = components(found, FEW_EDGES).withColumnRenamed("root", "family")
 
     @F.pandas_udf("array<long>")
     def parities(s: pd.Series) -> pd.Series:
@@ -287,7 +289,7 @@ def further_links(links_: DataFrame, found: DataFrame, sets: DataFrame, alike, s
     sized = materialise(sets.select("doc_id", "s", (F.length("s") / 8).cast("long").alias("n"), parities("s").alias("odd")), "sized")
     lo, hi = 0, HEADS
     while True:
-        parts = families.join(components(links_), "node", "left").select(F.col("node").alias("doc_id"), "family", F.coalesce("root", "node").alias("part"))
+        parts = families.join(components(links_, FEW_EDGES), "node", "left").select(F.col("node").alias("doc_id"), "family", F.coalesce("root", "node").alias("part"))
         parts = materialise(parts, "parts")
         several_ = parts.groupBy("family").agg(F.count("*").alias("m"), F.min("part").alias("x"), F.max("part").alias("y")).where((F.col("x") != F.col("y")) & (F.col("m") > lo)).select("family", "m")
         several_ = materialise(several_, "families")
@@ -376,7 +378,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     links_ = materialise(found.join(left, "a").join(right, "b").where(alike("sa", "sb")).select("a", "b"), "links")
-    groups = components(further_links(links_, found, sets, alike, similarity))
+    groups = components(further_links(links_, found, sets, alike, similarity), FEW_EDGES)
     release(docs.sparkSession)
     of_rep = reps.join(groups, reps.rep == groups.node, "left").select("c1", "c2", F.coalesce("root", "rep").alias("component_id"))
     return base.select("doc_id", "c1", "c2").join(of_rep, ["c1", "c2"]).select("doc_id", "c1", "c2", "component_id")

@@ -130,6 +130,9 @@ def test_components(spark):
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got[40] == 31 and got[20] == 11 and got[9] == 1 and got[105] == 100
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    few = graph.components(spark.createDataFrame(edges, "a long, b long"), few=10**6)
+    assert {r.node: r.root for r in few.collect()} == got
+    assert graph.components(spark.createDataFrame([], "a long, b long"), few=10).count() == 0
 
 
 # Neighbours
@@ -237,6 +240,24 @@ def brute_score(url, train, order=5):
     return float(np.mean([np.log(p("allow", x, i)) - np.log(p("block", x, i)) for i in range(order, len(x))])) if url else 0.0
 
 
+def test_url_of_a_megabyte(spark):
+    """A URL's text does not go with each of its characters."""
+    urls = ["http://a.com/en/" + "".join(chr(97 + (k * k) % 26) for k in range(1 << 20)), "http://b.example.com/en/7", "http://c.org/fr/", "http://d.example.com/en/71"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert "url" not in url_markov.places(url_markov.with_key(df)).columns
+    got = {r.page_id: r for r in url_markov.judge(df).collect()}
+    assert len(got) == 4 and (got[0].rule, got[1].rule, got[2].rule) == ("com/en/", "example.com/en/7", None)
+
+
+def test_url_order(spark, sf_dir):
+    urls = [r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").limit(60).collect()] + [f"http://a{k}.example.com/en/7{k}" for k in range(20)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_markov.judge(df, order=2).join(df, "page_id").withColumn("aside", F.pmod(F.xxhash64(F.lit("cut"), "url"), F.lit(5)) == 0).toPandas()
+    known = {r.url: (r.verdict if isinstance(r.rule, str) else None, r.aside) for r in got.itertuples()}
+    train = [(u, v) for u, (v, aside) in known.items() if v and not aside]
+    assert all(abs(r.score - brute_score(r.url, train, 2)) < 1e-9 for r in got.itertuples())
+
+
 @pytest.mark.parametrize("most", [10**6, 0])
 def test_url_scores(spark, sf_dir, monkeypatch, most):
     monkeypatch.setattr(url_markov, "BROADCAST_ROWS", most)
