@@ -22,7 +22,7 @@ the input are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -242,34 +242,48 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) ->
     yield Benchmark(rows)
 
 
+def shard_hits(benches: Iterable[Benchmark], docs: list[list[bytes]], places: bool) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[list[dict]]]:
+    """Of each document its words, those inside a match, the items that match, and with ``places`` all matches."""
+    sizes = np.array([len(d) for d in docs], np.int64)
+    ends = np.cumsum(sizes)
+    begins, cover = ends - sizes, np.zeros(int(ends[-1]) + 1, np.int64)
+    items: list[set[str]] = [set() for _ in docs]
+    listed: list[list[dict]] = [[] for _ in docs]
+    for bench in benches:
+        doc, at, item, start, n = Shard(bench, docs).matches(bench)
+        cover += np.bincount(begins[doc] + at, minlength=len(cover)) - np.bincount(begins[doc] + at + n, minlength=len(cover))
+        pair = np.unique(doc * len(bench.ids) + item) if len(doc) else doc
+        for d, i in zip((pair // max(1, len(bench.ids))).tolist(), (pair % max(1, len(bench.ids))).tolist(), strict=True):
+            items[d].add(bench.ids[i])
+        if places:
+            for d, p, i, q, k in zip(*(x.tolist() for x in (doc, at, item, start, n)), strict=True):
+                listed[d].append({"item": bench.ids[i], "item_start": q, "start": p, "n": k})
+    upto = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
+    return sizes, upto[ends] - upto[begins], [sorted(x) for x in items], [sorted(x, key=lambda m: (m["start"], m["item"], m["item_start"])) for x in listed]
+
+
 MATCH = "struct<item: string, item_start: long, start: long, n: long>"
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Columns doc_id, n_words, n_hit, n_items, items (sorted as strings), matches (item, item_start, start, n: in words), contaminated."""
+def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS, places: bool = True) -> DataFrame:
+    """Columns doc_id, n_words, n_hit, n_items, items (sorted as strings), matches (item, item_start, start, n: in words), contaminated.
+
+    Matches of a shard are arrays of numbers; only with ``places`` are they listed for each document.
+    """
     sc = docs.sparkSession.sparkContext
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sent = [sc.broadcast(b.__dict__) for b in _blocks(benchmark, item_id, item_text, block_words)]
 
     def judge(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, toks in _shards(it, "text"):
-            found: list[list[dict]] = [[] for _ in toks]
-            for bench in _opened(sent):
-                for d, at, item, start, n in zip(*(x.tolist() for x in Shard(bench, toks).matches(bench)), strict=True):
-                    found[d].append({"item": bench.ids[item], "item_start": start, "start": at, "n": n})
-            sizes, hits, items = [len(t) for t in toks], [], []
-            for size, own in zip(sizes, found, strict=True):
-                hit = np.zeros(size, bool)
-                for m in own:
-                    hit[m["start"] : m["start"] + m["n"]] = True
-                hits.append(int(hit.sum()))
-                items.append(sorted({m["item"] for m in own}))
-                own.sort(key=lambda m: (m["start"], m["item"], m["item_start"]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": sizes, "n_hit": hits, "items": items, "matches": found})
-
-    out = own.mapInPandas(judge, f"doc_id {dict(own.dtypes)['doc_id']}, n_words long, n_hit long, items array<string>, matches array<{MATCH}>")
+            sizes, hits, items, listed = shard_hits(_opened(sent), toks, places)
+            out = pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": sizes, "n_hit": hits, "items": items})
+            yield out.assign(matches=listed) if places else out
+
+    more = f", matches array<{MATCH}>" if places else ""
+    out = own.mapInPandas(judge, f"doc_id {dict(own.dtypes)['doc_id']}, n_words long, n_hit long, items array<string>{more}")
     return out.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "matches",
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", *(["matches"] if places else []),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
 
@@ -301,7 +315,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    out = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), places=False)
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 

@@ -108,6 +108,23 @@ def test_decontamination(spark, make_docs, monkeypatch, block):
     assert {r.n_items for r in suffix_decontam.contamination(make_docs(docs), bench.limit(0)).collect()} == {0}
 
 
+def test_hits_are_arrays():
+    """A shard full of items of one word each takes memory by its words, not by its matches."""
+    import tracemalloc
+
+    words = [f"w{k}".encode() for k in range(1000)]
+    bench = suffix_decontam.Benchmark([(k, w.decode()) for k, w in enumerate(words)])
+    rng = np.random.default_rng(0)
+    docs = [[words[k] for k in rng.integers(0, 1000, 100_000)] for _ in range(10)]
+    tracemalloc.start()
+    sizes, hits, items, listed = suffix_decontam.shard_hits([bench], docs, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6, peak
+    assert hits.tolist() == sizes.tolist() == [100_000] * 10 and not any(listed)
+    assert all(len(x) == 1000 for x in items)
+
+
 def test_longest(spark, make_docs):
     bench = spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string")
     got = suffix_decontam.longest_matches(make_docs([(1, "x b c d e f y"), (2, "c d e f g h z")]), bench, min_words=3).collect()
