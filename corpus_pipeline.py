@@ -45,7 +45,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drop the documents that the contamination rule finds against the benchmark. Rows that share a doc_id are told apart by their texts."""
     key = lambda d, t: F.concat_ws(":", F.coalesce(F.col(d).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(t), F.lit(""))), F.xxhash64(F.lit("copy"), F.coalesce(F.col(t), F.lit(""))))
     judged = docs.select(key("doc_id", "text").alias("key"), F.col("text").alias("text"))
-    found = suffix_decontam.contamination(judged, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="key")
+    found = suffix_decontam.contamination(judged, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="key", places=False)
     bad = found.where("contaminated").select(F.col("doc_id").alias("bad"))
     return _rows(docs).withColumn("key", key("row.doc_id", "row.text")).join(bad, F.col("key") == F.col("bad"), "left_anti").select("row.*")
 
