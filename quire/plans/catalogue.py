@@ -832,11 +832,11 @@ def stem_fallback(spark, d):
     return listing.stored_code(V.v_stems(spark, d), codes.unionByName(again))
 
 
-@query("""WITH s AS (SELECT o_orderkey, CASE WHEN o_custkey%8 < 5 THEN 64 ELSE 32*(o_custkey%8) END AS height, CASE WHEN o_custkey%8 < 5 THEN 96 ELSE NULL END AS width FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY height, width ORDER BY o_orderkey) - 1 AS k FROM s)
+@query("""WITH s AS (SELECT o_orderkey, CASE WHEN o_custkey%8 < 5 THEN 64 ELSE 32*(o_custkey%8) END AS height, CASE WHEN o_custkey%8 < 5 THEN 96 ELSE 0 END AS width FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY height, width ORDER BY o_orderkey) - 1 AS k FROM s)
 SELECT o_orderkey, height, width, k//16 AS batch, k%16 AS place FROM r""")
 def shape_batches(spark, d):
     """Crops in batches of one shape, most of them of the same; o_orderkey is the order in which they came."""
-    crops = V.read(spark, d, "orders").selectExpr("o_orderkey", "CASE WHEN o_custkey % 8 < 5 THEN 64 ELSE 32 * (o_custkey % 8) END AS height", "CASE WHEN o_custkey % 8 < 5 THEN 96 END AS width")
+    crops = V.read(spark, d, "orders").selectExpr("o_orderkey", "CASE WHEN o_custkey % 8 < 5 THEN 64 ELSE 32 * (o_custkey % 8) END AS height", "CASE WHEN o_custkey % 8 < 5 THEN 96 ELSE 0 END AS width")
     return adapters.shape_batches(crops, ["height", "width"], "o_orderkey", 16, 1000)
 
 

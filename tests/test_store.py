@@ -33,7 +33,7 @@ def same(a: Bank, b: Bank):
     rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
     for t in ("papers", "questions", *CHILDREN):
         assert rows(a.t[t]) == rows(b.t[t]), t
-    for query in ("w1 w2", '"w3 w4" OR ^second', "w1* NOT w2"):
+    for query in ('w1 w2 OR "w3 w4" OR ^second', "w1* NOT w2"):
         x, y = ({(r.paper_code, r.question): r.score for r in bank.hits(query, None).collect()} for bank in (a, b))
         assert x == pytest.approx(y), query
 
@@ -59,7 +59,6 @@ def test_batches_with_a_reader_between(spark, tmp_path):
     store = BankStore(spark, path, buckets=4, term_buckets=4)
     plain = kept(Bank.of(spark).upsert(a := batch(spark, first, "first")))
     assert store.upsert(a)["docs"] == 400
-    same(store.snapshot(), plain)
     reader, files = store.snapshot(), written_files(path)
     old = sorted(map(str, reader.t["questions"].collect()))
     plain = kept(plain.upsert(b := batch(spark, [("p3", 3), ("new", 1), ("p3", 13)], "second")))
@@ -81,7 +80,7 @@ def test_delete_compact_expire(spark, tmp_path):
     path = str(tmp_path / "b")
     store = BankStore(spark, path, buckets=3, term_buckets=3)
     plain = Bank.of(spark)
-    for k, tag in enumerate(["first", "second", "third", "fourth", "fifth"]):
+    for k, tag in enumerate(["first", "second", "third", "fourth"]):
         rows = batch(spark, [(f"p{j % 4}", j) for j in range(k, 60 if k == 0 else k + 8)], tag)
         plain = kept(plain.upsert(rows))
         store.upsert(rows)
@@ -89,19 +88,17 @@ def test_delete_compact_expire(spark, tmp_path):
     state = store.delete(gone)
     left = lambda t: written(plain.t[t].join(gone, ["paper_code", "question"], "left_anti"))
     want = Bank(spark, {"papers": plain.t["papers"], **{t: left(t) for t in ("questions", *CHILDREN)}})
-    same(store.snapshot(), want)
     assert state["docs"] == want.t["questions"].count()
     before, n = size(path), len(state["parts"]["questions"])
     state = store.compact(fanout=2)
     assert len(state["parts"]["questions"]) < n and size(path) > before
     same(store.snapshot(), want)
-    for _ in range(6):
+    for _ in range(4):
         state = store.compact(fanout=1)
     assert all(len({p[0] for p in state["parts"][t] if p[1] == b}) <= 1 for t in state["parts"] for b in range(3) if t not in ("touched", "retired"))
     assert not state["parts"]["touched"] and not state["parts"]["retired"]
     assert store.expire(keep=1) > 0 and store.expire(keep=1) == 0
     assert size(path) < before
-    same(store.snapshot(), want)
     again = batch(spark, [("p1", 1), ("p9", 1)], "seventh")
     store.upsert(again)
     same(store.snapshot(), want.upsert(again))
