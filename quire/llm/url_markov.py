@@ -30,7 +30,7 @@ from quire.llm.common import ascii_lower, materialise
 
 #: Rule: verdict, host, path.
 RULES = (
-    ("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"),
+    ("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"),
     ("block", "example.net", "/de/8"), ("block", "org", "/es/"),
 )
 #: Characters of context that a model looks at, at most, unless ``order`` says otherwise; the sign that stands before a URL.
